@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from lexiforge.llm import exact_dedup, simhash
+import public_tokenizers
+
+from lexiforge.llm import bpe, exact_dedup, media, packing, simhash, urls
 from lexiforge.storage import read_table
 
 
@@ -14,7 +16,23 @@ def op2_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_groups(read_table(spark, sf_dir, "documents"), keep="largest")
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash_near_dedup, op2_exact_dedup)}
+def op3_packing(spark, sf_dir):
+    return packing.packed(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op7_byte_bpe(spark, sf_dir):
+    return bpe.round_trip(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+def op9_media(spark, sf_dir):
+    return media.stored_texts(read_table(spark, sf_dir, "documents"))
+
+
+def op10_url_filter(spark, sf_dir):
+    return urls.filtered_urls(read_table(spark, sf_dir, "pages"))
+
+
+QUERIES = {f.__name__: f for f in (op1_simhash_near_dedup, op2_exact_dedup, op3_packing, op7_byte_bpe, op9_media, op10_url_filter)}
 
 _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
