@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from lexiforge.llm import bpe, exact_dedup, media, packing, pii, quality, secrets, simhash, urls
+from lexiforge.llm import bpe, exact_dedup, media, packing, pii, quality, secrets, simhash, substring, urls
 from lexiforge.storage import read_table
 
 
@@ -24,6 +24,10 @@ def op4_secret_scan(spark, sf_dir):
     return secrets.span_digests(read_table(spark, sf_dir, "documents"))
 
 
+def op5_substring_dedup(spark, sf_dir):
+    return substring.word_digests(read_table(spark, sf_dir, "documents"))
+
+
 def op6_quality(spark, sf_dir):
     return quality.scored(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
@@ -44,7 +48,7 @@ def op10_url_filter(spark, sf_dir):
     return urls.filtered_urls(read_table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash_near_dedup, op2_exact_dedup, op3_packing, op4_secret_scan, op6_quality, op7_byte_bpe, op8_pii, op9_media, op10_url_filter)}
+QUERIES = {f.__name__: f for f in (op1_simhash_near_dedup, op2_exact_dedup, op3_packing, op4_secret_scan, op5_substring_dedup, op6_quality, op7_byte_bpe, op8_pii, op9_media, op10_url_filter)}
 
 _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
