@@ -568,7 +568,7 @@ def W03_best_pair(spark, d):
       UNION ALL SELECT k.i, CASE WHEN ok THEN list_concat(taken, [k.a, k.b]) ELSE taken END, n + ok::INT, CASE WHEN ok THEN k.a END, CASE WHEN ok THEN k.b END
       FROM (SELECT g.*, k AS k, NOT list_contains(taken, k.a) AND NOT list_contains(taken, k.b) AND n < 20 AS ok FROM g JOIN k ON k.i = g.i + 1)),
     m AS (SELECT n AS rank, a, b, (SELECT count(*) FROM g) AS z FROM g WHERE a IS NOT NULL),
-    r AS (SELECT 0 AS rank, text, list_reduce(list_prepend('', list_transform({CHARS.format('text')}, lambda c: '<' || unicode(c) || '>')), lambda x, y: x || y) AS s FROM t
+    r AS (SELECT 0 AS rank, text, array_to_string(list_transform({CHARS.format('text')}, lambda c: '<' || unicode(c) || '>'), '') AS s FROM t
       UNION ALL SELECT m.rank, text, replace(s, '<' || a || '><' || b || '>', '<' || (1114112 + m.rank - 1) || '>') FROM r JOIN m ON m.rank = r.rank + 1)
     SELECT md5(text) AS text_md5, md5(s) AS seq_md5 FROM r WHERE rank = (SELECT max(rank) FROM m)""")
 def B01_apply_merges_round1(spark, d):
