@@ -142,14 +142,18 @@ def pseudonyms(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     gives an empty result. ``pii_kinds`` replaces a column of that name.
     """
     cases = " ".join(f"when '{k}' then {make(key, 'm')}" for k, make in _MAKERS.items())
-    work = docs.withColumn("__t", F.col(f"`{text_col}`").cast("string"))
-    hits = F.expr(f"if(__t rlike '[0-9@]' and __t rlike {_sql(FOUND)}, regexp_extract_all(__t, {_sql(FOUND)}, 0), cast(array() as array<string>))")
-    work = work.withColumn("__m", hits)
-    named = f"transform(__m, m -> named_struct('m', m, 'kind', {_kind_of('m')}))"
-    work = work.withColumn("__k", F.expr(named))
-    work = work.withColumn("__p", F.expr(f"transform(__k, x -> named_struct('old', x.m, 'kind', x.kind, 'new', element_at(transform(array(x.m), m -> case x.kind {cases} else m end), 1)))"))
-    text = f"if(size(__m) > 0, array_join(zip_with(split(__t, {_sql(FOUND)}, -1), __p, (g, p) -> concat(g, coalesce(p.new, ''))), ''), __t)"
-    kinds = "transform(filter(__p, p -> p.new <> p.old), p -> p.kind)"
+    taken = {c.lower() for c in docs.columns}
+    prefix = "_"
+    while any(c.startswith(prefix) for c in taken):
+        prefix += "_"
+    t, m, k, p = (prefix + x for x in "tmkp")
+    found = _sql(FOUND)
+    work = docs.withColumn(t, F.col(f"`{text_col}`").cast("string"))
+    work = work.withColumn(m, F.expr(f"if({t} rlike '[0-9@]' and {t} rlike {found}, regexp_extract_all({t}, {found}, 0), cast(array() as array<string>))"))
+    work = work.withColumn(k, F.expr(f"transform({m}, m -> named_struct('m', m, 'kind', {_kind_of('m')}))"))
+    work = work.withColumn(p, F.expr(f"transform({k}, x -> named_struct('old', x.m, 'kind', x.kind, 'new', element_at(transform(array(x.m), m -> case x.kind {cases} else m end), 1)))"))
+    text = f"if(size({m}) > 0, array_join(zip_with(split({t}, {found}, -1), {p}, (g, p) -> concat(g, coalesce(p.new, ''))), ''), {t})"
+    kinds = f"transform(filter({p}, p -> p.new <> p.old), p -> p.kind)"
     columns = [F.expr(text).alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns if c != "pii_kinds"]
     return work.select(*columns, F.coalesce(F.expr(kinds), F.expr("cast(array() as array<string>)")).alias("pii_kinds"))
 

@@ -16,89 +16,136 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexiforge.llm.tokens import Cache
-
 PASSAGE_WORDS = 48
 #: Labelled documents that are learned from at most, chosen by a hash of doc_id; of each at most so many passages, evenly spaced.
 TRAINING_DOCS, TRAINING_PASSAGES = 4000, 256
 THRESHOLD = 0.3
 
 
-def _word(word: bytes) -> tuple:
-    text = word.decode("utf-8", "replace")
-    letters = sum(c.isalpha() for c in text)
-    upper = sum(c.isupper() for c in text)
-    digits = sum(c.isdigit() for c in text)
-    last = text[-1]
-    return (
-        len(text), len(text) ** 2, letters, upper, digits, len(text) - letters - digits, float(last == "."), float(last == ","), float(last in "!?;:"),
-        float(text[0].isupper()), float(letters > 1 and upper == letters), float(letters + digits == 0), float(letters > 0 and len(text) - letters > 2),
-    )
+#: Bytes that are encoded at once; a longer text is cut behind white space, and its passages end there.
+BLOCK = 1 << 20
+_SPACE = np.zeros(256, bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
+_DIGIT, _UPPER, _TAIL, _LETTER = (np.zeros(256, np.int32) for _ in range(4))
+_DIGIT[48:58] = 1
+_UPPER[65:91] = 1
+_TAIL[0x80:0xC0] = 1  # bytes inside a character
+_LETTER[[*range(65, 91), *range(97, 123), *range(0xC0, 256)]] = 1
+_ODD = np.uint64(0x9E3779B97F4A7C15)
+_EVEN = np.uint64(pow(int(_ODD), -1, 1 << 64))
 
 
 class PassageEncoder:
-    """Statistics of each passage of a text; remembers words, boundedly."""
+    """Statistics of each passage of texts, over whole blocks of bytes at once."""
 
     width = 22
 
     def __init__(self):
-        self._words = Cache(self._new_word)
-        self._rows: list[tuple] = []
-
-    def _new_word(self, word: bytes) -> int:
-        if len(self._words) == 0:
-            self._rows = []
-            self._table = np.zeros((0, 13), np.float32)
-        self._rows.append(_word(word))
-        return len(self._rows) - 1
-
-    def __call__(self, text: bytes) -> np.ndarray:
-        """passages x width; a text without words is one passage of zeros."""
-        words = text.split()
-        if not words:
-            return np.zeros((1, self.width), np.float32)
+        n = 4 * BLOCK
+        self._power = np.multiply.accumulate(np.concatenate(([np.uint64(1)], np.full(n, _ODD))))
+        self._inverse = np.multiply.accumulate(np.concatenate(([np.uint64(1)], np.full(n, _EVEN))))
+
+    def __call__(self, texts: list[bytes]) -> list[np.ndarray]:
+        """For each text passages x width; a text without words is one passage of zeros."""
+        parts: list[list[np.ndarray]] = [[] for _ in texts]
+        block, owners, size = [], [], 0
+        for k, text in enumerate(texts):
+            for piece in self._cut(text):
+                if block and size + len(piece) > 2 * BLOCK:
+                    self._into(parts, block, owners)
+                    block, owners, size = [], [], 0
+                block.append(piece)
+                owners.append(k)
+                size += len(piece) + 1
+        if block:
+            self._into(parts, block, owners)
         out = []
-        for at in range(0, len(words), 1 << 14):  # bounded memory however long the text
-            out.append(self._encode(words[at : at + (1 << 14)]))
-        lines = [x for x in text.split(b"\n") if x.strip()]
-        whole = np.concatenate(out)
-        whole[:, 20] = len(set(lines)) / max(len(lines), 1)
-        whole[:, 21] = np.log1p(len(words))
-        return whole
-
-    def _encode(self, words: list[bytes]) -> np.ndarray:
-        if len(self._words) + len(words) > self._words.limit:
-            self._words.clear()  # never between two words of one call
-        ids = np.fromiter(map(self._words.__getitem__, words), np.int64, len(words))
-        if len(self._table) < len(self._rows):
-            self._table = np.concatenate((self._table, np.array(self._rows[len(self._table) :], np.float32)))
-        n = len(ids)
-        starts = np.arange(0, n, PASSAGE_WORDS)
+        for text, found in zip(texts, parts):
+            x = np.concatenate(found) if found else np.zeros((0, self.width), np.float32)
+            if not len(x):
+                x = np.zeros((1, self.width), np.float32)
+            else:
+                lines = [line for line in text.split(b"\n") if line.strip()]
+                x[:, 20] = len(set(lines)) / len(lines)
+                x[:, 21] = np.log1p(len(text))
+            out.append(x)
+        return out
+
+    @staticmethod
+    def _cut(text: bytes):
+        at = 0
+        while len(text) - at > BLOCK:
+            end = max(text.rfind(b" ", at, at + BLOCK), text.rfind(b"\n", at, at + BLOCK)) + 1
+            end = end if end > at else at + BLOCK  # a word longer than a block
+            yield text[at:end]
+            at = end
+        yield text[at:]
+
+    def _into(self, parts: list[list[np.ndarray]], block: list[bytes], owners: list[int]) -> None:
+        x, counts = self._encode(block)
+        ends = np.cumsum(counts)
+        for k, end, n in zip(owners, ends.tolist(), counts.tolist()):
+            if n:
+                parts[k].append(x[end - n : end])
+
+    def _encode(self, block: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Passages of all pieces of a block, and how many each piece has."""
+        raw = np.frombuffer(b"\n".join(block) + b"\n", np.uint8)
+        space = _SPACE[raw]
+        edge = np.flatnonzero(space[1:] != space[:-1]) + 1
+        if not space[0]:
+            edge = np.concatenate(([0], edge))
+        start, end = edge[0::2], edge[1::2]
+        n = len(start)
+        offsets = np.cumsum([0] + [len(b) + 1 for b in block])
+        piece = np.searchsorted(offsets, start, side="right") - 1
+        per_piece = np.bincount(piece, minlength=len(block))
+        counts = -(-per_piece // PASSAGE_WORDS)
+        if not n:
+            return np.zeros((0, self.width), np.float32), counts
+        first_word = np.cumsum(per_piece) - per_piece
+        passage = (np.cumsum(counts) - counts)[piece] + (np.arange(n) - first_word[piece]) // PASSAGE_WORDS
+
+        def within(values: np.ndarray) -> np.ndarray:
+            total = np.concatenate(([0], np.cumsum(values, dtype=np.int32)))
+            return (total[end] - total[start]).astype(np.float32)
+
+        wide_upper = np.zeros(len(raw), np.int32)
+        wide_upper[:-1] = (raw[:-1] == 0xC3) & (raw[1:] >= 0x80) & (raw[1:] <= 0x9E)
+        upper_at = _UPPER[raw] + wide_upper
+        chars, letters, upper, digits = (end - start) - within(_TAIL[raw]), within(_LETTER[raw]), within(upper_at), within(_DIGIT[raw])
+        other = chars - letters - digits
+        last, head = raw[end - 1], upper_at[start]
+        sums = np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * self._power[: len(raw)])
+        sums = np.concatenate(([np.uint64(0)], sums))
+        word = (sums[end] - sums[start]) * self._inverse[start]
+
+        starts = np.flatnonzero(np.concatenate(([True], passage[1:] != passage[:-1])))
         size = np.diff(np.append(starts, n)).astype(np.float32)
-        sums = np.add.reduceat(self._table[ids], starts, axis=0)
-        chars = np.maximum(sums[:, 0], 1)
-        passage = np.arange(n) // PASSAGE_WORDS
-        key = np.sort(passage * (1 << 32) + ids)
-        new = np.concatenate(([True], key[1:] != key[:-1]))
-        distinct = np.bincount(key[new] >> 32, minlength=len(starts))
-        runs = np.diff(np.append(np.flatnonzero(new), n))
-        most = np.zeros(len(starts))
-        np.maximum.at(most, key[new] >> 32, runs)
-        again = np.bincount(passage[1:][ids[1:] == ids[:-1]], minlength=len(starts))
-        mean = sums[:, 0] / size
+        add = lambda v: np.add.reduceat(v.astype(np.float32), starts)
+        total = np.maximum(add(chars), 1)
+        order = np.lexsort((word, passage))
+        pw, ww = passage[order], word[order]
+        new = np.concatenate(([True], (ww[1:] != ww[:-1]) | (pw[1:] != pw[:-1])))
+        groups = np.flatnonzero(new)
+        most = np.maximum.reduceat(np.diff(np.append(groups, n)), np.searchsorted(pw[groups], np.arange(len(starts))))
+        again = np.concatenate(([False], (word[1:] == word[:-1]) & (passage[1:] == passage[:-1])))
+        mean = add(chars) / size
         x = np.zeros((len(starts), self.width), np.float32)
         x[:, 0] = mean
-        x[:, 1] = np.sqrt(np.maximum(sums[:, 1] / size - mean**2, 0))
-        x[:, 2:6] = sums[:, 2:6] / chars[:, None]
-        x[:, 6:13] = sums[:, 6:13] / size[:, None]
-        x[:, 13] = distinct / size
+        x[:, 1] = np.sqrt(np.maximum(add(chars**2) / size - mean**2, 0))
+        for k, v in enumerate((letters, upper, digits, other)):
+            x[:, 2 + k] = add(v) / total
+        for k, v in enumerate((last == 46, last == 44, (last == 33) | (last == 63) | (last == 59) | (last == 58), head > 0, (letters > 1) & (upper == letters), letters + digits == 0, (letters > 0) & (chars - letters > 2))):
+            x[:, 6 + k] = add(v) / size
+        x[:, 13] = add(new) / size
         x[:, 14] = most / size
-        x[:, 15] = again / size
+        x[:, 15] = add(again) / size
         x[:, 16] = np.log1p(size)
-        x[:, 17] = (sums[:, 6] == 0) & (size > 40)
-        x[:, 18] = sums[:, 3] > 0.5 * sums[:, 2]
-        x[:, 19] = sums[:, 5] > 0.3 * chars
-        return x
+        x[:, 17] = (x[:, 6] == 0) & (size > 40)
+        x[:, 18] = x[:, 3] > 0.5 * x[:, 2]
+        x[:, 19] = x[:, 5] > 0.3
+        return x, counts
 
 
 class AttentionModel:
@@ -180,8 +227,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         encoder = PassageEncoder()
         for batch in batches:
             rows = []
-            for text in pc.cast(batch.column(2), pa.binary()):
-                x = encoder(text.as_py() or b"")
+            for x in encoder([t or b"" for t in pc.cast(batch.column(2), pa.binary()).to_pylist()]):
                 if len(x) > TRAINING_PASSAGES:
                     x = x[np.linspace(0, len(x) - 1, TRAINING_PASSAGES).astype(int)]
                 rows.append(x.tobytes())
@@ -206,7 +252,7 @@ def score_column(model: AttentionModel | _Constant, text: Column) -> Column:
         for texts in parts:
             out = []
             for at in range(0, len(texts), 256):
-                bags = [encoder((t or "").encode()) for t in texts.iloc[at : at + 256]]
+                bags = encoder([(t or "").encode() for t in texts.iloc[at : at + 256]])
                 out.append(model.score(np.concatenate(bags), np.cumsum([0] + [len(b) for b in bags[:-1]])))
             yield pd.Series(np.concatenate(out) if out else np.zeros(0))
 

@@ -196,7 +196,8 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     by_cover = shared.groupBy("h", "c1", "c2").agg(F.min("id").alias("first_c"), F.min("first_h").alias("first_h"))
     # An anchor is settled where its whole cover is in a smaller document. If every cover of a half-window starts in its smallest
     # document, no window of it is left to judge.
-    unsettled = by_cover.where("first_c > first_h").select("h").distinct()
+    # Written out, so that the join below meets two plain exchanges and its hot half-windows can be split.
+    unsettled = materialize(by_cover.where("first_c > first_h").select("h").distinct(), "unsettled")
     settled = shared.join(by_cover.drop("first_h"), ["h", "c1", "c2"]).where("first_c < id").select("id", "th", "place")
     # Level two: full windows of the anchors that are left, one document for each different cover.
     open_places = shared.join(by_cover.drop("first_h"), ["h", "c1", "c2"]).where("first_c = id").join(unsettled, "h", "left_semi").groupBy("id", "th").agg(F.collect_set("place").alias("open"))

@@ -42,6 +42,27 @@ class Cache(dict):
         return value
 
 
+class Generations(Cache):
+    """A cache that ages: at ``limit`` entries the young ones become the old ones, and old ones that are used again become young.
+
+    What is used often stays, and at most twice ``limit`` entries are held.
+    """
+
+    def __init__(self, make, limit: int = CACHE_LIMIT):
+        super().__init__(make, limit)
+        self.old: dict = {}
+
+    def __missing__(self, key):
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(self) >= self.limit:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+
 def rank_file(path: str) -> dict[bytes, int]:
     with open(path, "rb") as f:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
@@ -54,51 +75,14 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(rest)}
 
 
-class RankQueue:
-    """Positions in buckets by merge rank, under a three-level bitmap of the ranks that have any."""
-
-    def __init__(self, ranks: int):
-        self.low = [0] * (ranks // 64 + 1)
-        self.mid = [0] * (len(self.low) // 64 + 1)
-        self.top = 0
-        self.buckets: dict[int, list[int]] = {}
-
-    def push(self, rank: int, position: int) -> None:
-        bucket = self.buckets.get(rank)
-        if bucket is not None:
-            heapq.heappush(bucket, position)
-            return
-        self.buckets[rank] = [position]
-        a, b = rank >> 6, rank >> 12
-        self.low[a] |= 1 << (rank & 63)
-        self.mid[b] |= 1 << (a & 63)
-        self.top |= 1 << b
-
-    def pop(self) -> tuple[int, int]:
-        """The leftmost position of the lowest rank."""
-        b = (self.top & -self.top).bit_length() - 1
-        w = self.mid[b]
-        a = (b << 6) | ((w & -w).bit_length() - 1)
-        w = self.low[a]
-        rank = (a << 6) | ((w & -w).bit_length() - 1)
-        bucket = self.buckets[rank]
-        position = heapq.heappop(bucket)
-        if not bucket:
-            del self.buckets[rank]
-            self.low[a] = w & (w - 1)
-            if not self.low[a]:
-                self.mid[b] &= ~(1 << (a & 63))
-                if not self.mid[b]:
-                    self.top &= ~(1 << b)
-        return rank, position
-
-
 class BytePairEncoder:
     """Encodes by ranks, each match of ``pattern`` on its own, without special tokens; decodes by joining bytes.
 
     Within a pre-token the adjacent pair of the lowest rank merges first, the leftmost of equals. Candidates wait in a
-    ``RankQueue``; an entry whose left part was swallowed or whose pair has another rank by now is stale and skipped, so
-    a pre-token of n bytes costs about n queue operations however long it is.
+    hierarchical-bitmap queue: a bucket of linked-list positions for each rank, a word of 1024 bits that says which of 1024
+    neighbouring ranks have a bucket, and a word above that says which words are not zero. Find-first-set in two words gives
+    the next rank. An entry whose left part was swallowed or whose pair has another rank by now is stale and skipped, so a
+    pre-token of n bytes costs about n queue operations however long it is.
     """
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
@@ -106,47 +90,83 @@ class BytePairEncoder:
         self.bytes_of = [b""] * (max(ranks.values()) + 1)
         for token, rank in ranks.items():
             self.bytes_of[rank] = token
+        self.byte = [ranks[bytes([k])] for k in range(256)]
+        #: Rank of the token that two tokens make side by side, for each way to cut a token in two.
+        self.pairs = {
+            (ranks[token[:k]] << 20) | ranks[token[k:]]: rank
+            for token, rank in ranks.items() for k in range(1, len(token)) if token[:k] in ranks and token[k:] in ranks
+        }
         self.decimal = [str(k) for k in range(len(self.bytes_of))]
         self.find = regex.compile(pattern).findall
-        self.queue = RankQueue(len(self.bytes_of))
-        self.of_match = Cache(self._match)
-        self.of_piece = Cache(self._piece)
+        self.low = [0] * ((len(self.bytes_of) >> 10) + 1)
+        self.bit = [1 << k for k in range(1024)]
+        self.of_match = Generations(self._match)
+        self.of_piece = Generations(self._piece)
 
     def merge(self, data: bytes) -> list[int]:
         whole = self.ranks.get(data)
         if whole is not None:
             return [whole]
-        n, ranks, queue = len(data), self.ranks, self.queue
-        part = [data[i : i + 1] for i in range(n)]
+        n, rank_of, low, bit, push = len(data), self.pairs.get, self.low, self.bit, heapq.heappush
+        part = [self.byte[x] for x in data]
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        pair: list[int | None] = [ranks.get(data[i : i + 2]) for i in range(n - 1)] + [None]
-        for i in range(n - 1):
-            if pair[i] is not None:
-                queue.push(pair[i], i)
-        while queue.top:
-            rank, i = queue.pop()
+        pair = [rank_of((a << 20) | b, -1) for a, b in zip(part, part[1:])]
+        pair.append(-1)
+        buckets: dict[int, list[int]] = {}
+        top = 0
+        for i, rank in enumerate(pair):
+            if rank >= 0:
+                if rank in buckets:
+                    buckets[rank].append(i)  # rising, so a heap
+                else:
+                    buckets[rank] = [i]
+                    low[rank >> 10] |= bit[rank & 1023]
+                    top |= 1 << (rank >> 10)
+        while top:
+            word = (top & -top).bit_length() - 1
+            bits = low[word]
+            rank = (word << 10) | ((bits & -bits).bit_length() - 1)
+            bucket = buckets[rank]
+            if len(bucket) > 1:
+                i = heapq.heappop(bucket)
+            else:
+                i = bucket[0]
+                del buckets[rank]
+                bits &= bits - 1
+                low[word] = bits
+                if not bits:
+                    top &= top - 1
             if pair[i] != rank:
                 continue
             j = after[i]
-            part[i] += part[j]
-            part[j] = None
-            pair[j] = None
+            part[i] = rank
+            part[j] = pair[j] = -1
             k = after[i] = after[j]
             if k < n:
                 before[k] = i
-                pair[i] = ranks.get(part[i] + part[k])
-                if pair[i] is not None:
-                    queue.push(pair[i], i)
+                new = pair[i] = rank_of((rank << 20) | part[k], -1)
+                if new >= 0:
+                    if new in buckets:
+                        push(buckets[new], i)
+                    else:
+                        buckets[new] = [i]
+                        low[new >> 10] |= bit[new & 1023]
+                        top |= 1 << (new >> 10)
             else:
-                pair[i] = None
+                pair[i] = -1
             h = before[i]
             if h >= 0:
-                now = ranks.get(part[h] + part[i])
-                if now != pair[h]:
-                    pair[h] = now
-                    if now is not None:
-                        queue.push(now, h)
-        return [ranks[x] for x in part if x is not None]
+                new = rank_of((part[h] << 20) | rank, -1)
+                if new != pair[h]:
+                    pair[h] = new
+                    if new >= 0:
+                        if new in buckets:
+                            push(buckets[new], h)
+                        else:
+                            buckets[new] = [h]
+                            low[new >> 10] |= bit[new & 1023]
+                            top |= 1 << (new >> 10)
+        return [x for x in part if x >= 0]
 
     def _match(self, match: str) -> bytes:
         return np.array(self.merge(match.encode("utf-8")), "<u4").tobytes()
@@ -185,7 +205,7 @@ class FileTokenizer:
 
             ranks = {b: k for k, b in self.bytes_of.items()}
             run = tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-            self.of_piece = Cache(lambda piece: np.array(run(piece), "<u4").tobytes())
+            self.of_piece = Generations(lambda piece: np.array(run(piece), "<u4").tobytes())
         else:
             from tokenizers import Tokenizer
 
