@@ -191,18 +191,18 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(F.col(text_col).cast("string")).alias("th"), F.col(text_col).cast("string").alias("t"))  # th tells apart rows that repeat an id
     anchors = materialize(anchor_table(texts, window), "anchors")
     # Level one: half-windows in more than one document. first_h is the smallest document of each.
-    by_half = anchors.groupBy("h").agg(F.min("id").alias("first_h"), F.max("id").alias("last_h")).where("first_h < last_h").select("h", "first_h")
+    # Each aggregate is written out, so that the join behind it meets two plain exchanges and its hot keys can be split.
+    by_half = materialize(anchors.groupBy("h").agg(F.min("id").alias("first_h"), F.max("id").alias("last_h")).where("first_h < last_h").select("h", "first_h"), "halves")
     shared = materialize(anchors.join(by_half, "h"), "shared")
-    by_cover = shared.groupBy("h", "c1", "c2").agg(F.min("id").alias("first_c"), F.min("first_h").alias("first_h"))
+    by_cover = materialize(shared.groupBy("h", "c1", "c2").agg(F.min("id").alias("first_c"), F.min("first_h").alias("first_h")), "covers")
     # An anchor is settled where its whole cover is in a smaller document. If every cover of a half-window starts in its smallest
     # document, no window of it is left to judge.
-    # Written out, so that the join below meets two plain exchanges and its hot half-windows can be split.
     unsettled = materialize(by_cover.where("first_c > first_h").select("h").distinct(), "unsettled")
     settled = shared.join(by_cover.drop("first_h"), ["h", "c1", "c2"]).where("first_c < id").select("id", "th", "place")
     # Level two: full windows of the anchors that are left, one document for each different cover.
     open_places = shared.join(by_cover.drop("first_h"), ["h", "c1", "c2"]).where("first_c = id").join(unsettled, "h", "left_semi").groupBy("id", "th").agg(F.collect_set("place").alias("open"))
     windows = materialize(_window_table(texts.join(open_places, ["id", "th"]).select("id", "th", "t", "open"), window), "windows")
-    by_window = windows.groupBy("k1", "k2").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last").select("k1", "k2", F.col("first").alias("least"))
+    by_window = materialize(windows.groupBy("k1", "k2").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last").select("k1", "k2", F.col("first").alias("least")), "repeats")
     repeated = windows.join(by_window, ["k1", "k2"]).where("least < id").groupBy("id", "th").agg(F.collect_set("first").alias("windows"))
     covered = settled.groupBy("id", "th").agg(F.collect_set("place").alias("anchors"))
     marks = covered.join(repeated, ["id", "th"], "full").select("id", "th", "anchors", "windows")
