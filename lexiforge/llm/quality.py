@@ -23,7 +23,7 @@ THRESHOLD = 0.3
 
 
 #: Bytes that are encoded at once; a longer text is cut behind white space, and its passages end there.
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _DIGIT, _UPPER, _TAIL, _LETTER = (np.zeros(256, np.int32) for _ in range(4))
@@ -41,7 +41,7 @@ class PassageEncoder:
     width = 22
 
     def __init__(self):
-        n = 4 * BLOCK
+        n = 2 * BLOCK + 2
         self._power = np.multiply.accumulate(np.concatenate(([np.uint64(1)], np.full(n, _ODD))))
         self._inverse = np.multiply.accumulate(np.concatenate(([np.uint64(1)], np.full(n, _EVEN))))
 
