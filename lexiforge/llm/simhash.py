@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexiforge.llm.components import component_roots
@@ -92,8 +92,13 @@ def permuted_bands(n_words: int, bits: int, rounds: int, seed: int = 7) -> list[
     return out
 
 
+def _carried(rows: DataFrame) -> list[str]:
+    return ["fp", "rep", "part"] if "part" in rows.columns else ["fp", "rep"]
+
+
 def _cells(classes: DataFrame, bands: list[list[int]]) -> DataFrame:
-    """A row for each fingerprint and band: (band, cell, fp, rep)."""
+    """A row for each fingerprint and band: (band, cell, fp, rep), and part where ``classes`` has it."""
+    carried = _carried(classes)
 
     def run(batches):
         for batch in batches:
@@ -103,9 +108,9 @@ def _cells(classes: DataFrame, bands: list[list[int]]) -> DataFrame:
             bits = np.unpackbits(np.frombuffer(b"".join(batch.column(0).to_pylist()), np.uint8).reshape(n, -1), axis=1)
             for b, band in enumerate(bands):
                 cell = bits[:, band].astype(np.int64) @ (np.int64(1) << np.arange(len(band), dtype=np.int64))
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(n, b, np.int32)), pa.array(cell), batch.column(0), batch.column(1)], names=["band", "cell", "fp", "rep"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(n, b, np.int32)), pa.array(cell), *batch.columns], names=["band", "cell", *carried])
 
-    return classes.select("fp", "rep").mapInArrow(run, "band int, cell long, fp binary, rep long")
+    return classes.select(carried).mapInArrow(run, "band int, cell long, fp binary, rep long" + ", part long" * (len(carried) > 2))
 
 
 class _Forest:
@@ -141,13 +146,17 @@ class _Forest:
         return self._changes[hi - 1] == self._changes[lo]
 
 
-def trie_forest(keys: np.ndarray, ranges: np.ndarray, budget: int, leaf: int = 1024) -> np.ndarray:
+def trie_forest(keys: np.ndarray, ranges: np.ndarray, budget: int, leaf: int = 1024, parts: np.ndarray | None = None, emit=None) -> np.ndarray:
     """Component label of each row of ``keys`` (n x words, uint64), linked where at most ``budget`` bits differ.
 
-    ``ranges`` has a row (lo_a, hi_a, lo_b, hi_b) for each pair of tries to join; keys are sorted within each range.
+    ``ranges`` has a row (lo_a, hi_a, lo_b, hi_b) for each pair of tries to join; keys are sorted within each range. With ``parts``
+    nothing is linked: all near pairs of rows of different parts go to ``emit(i, j)``.
     """
     n = len(keys)
     forest, ones_before = _Forest(n), {}
+    if emit is not None:
+        _, at, back = np.unique(parts, return_index=True, return_inverse=True)
+        forest.label = at[back]
 
     def ones(depth: int) -> np.ndarray:
         if depth not in ones_before:
@@ -171,7 +180,10 @@ def trie_forest(keys: np.ndarray, ranges: np.ndarray, budget: int, leaf: int = 1
             for w in range(keys.shape[1]):
                 off += np.bitwise_count(keys[i, w] ^ keys[j, w])
             near = off <= budget
-            forest.union(i[near], j[near])
+            if emit is not None:
+                emit(i[near], j[near])
+            else:
+                forest.union(i[near], j[near])
 
     stack = [(0, np.column_stack((ranges, np.zeros(len(ranges), np.int64))))] if len(ranges) else []
     while stack:
@@ -186,7 +198,7 @@ def trie_forest(keys: np.ndarray, ranges: np.ndarray, budget: int, leaf: int = 1
         c = ones(depth)
         mid_a, mid_b = f[:, 1] - (c[f[:, 1]] - c[f[:, 0]]), f[:, 3] - (c[f[:, 3]] - c[f[:, 2]])
         same = (f[:, 0] == f[:, 2]) & (f[:, 1] == f[:, 3])
-        parts = []
+        pieces = []
         for a, b in ((0, 1), (1, 0), (1, 1), (0, 0)):
             child = f.copy()
             child[:, 0 if a else 1] = mid_a
@@ -195,8 +207,8 @@ def trie_forest(keys: np.ndarray, ranges: np.ndarray, budget: int, leaf: int = 1
             keep = (child[:, 0] < child[:, 1]) & (child[:, 2] < child[:, 3]) & (child[:, 4] <= budget)
             if (a, b) == (1, 0):
                 keep &= ~same
-            parts.append(child[keep])
-        children = np.concatenate(parts)
+            pieces.append(child[keep])
+        children = np.concatenate(pieces)
         children = children[np.argsort((children[:, 0] == children[:, 2]).astype(np.int8), kind="stable")]
         for at in range(0, len(children), _PAIRS // 4):
             stack.append((depth + 1, children[at : at + _PAIRS // 4]))
@@ -204,7 +216,8 @@ def trie_forest(keys: np.ndarray, ranges: np.ndarray, budget: int, leaf: int = 1
 
 
 def _joined(items: DataFrame, n_words: int, budget: int, batch_rows: int) -> DataFrame:
-    """(a, b) pairs of representatives that span the components within each item."""
+    """(a, b) pairs of representatives that span the components within each item; with parts, all near pairs across them."""
+    carried = _carried(items)
 
     def links(rows: pa.Table):
         keys = np.frombuffer(b"".join(rows.column("fp").to_pylist()), ">u8").reshape(-1, n_words).astype(np.uint64)
@@ -220,6 +233,11 @@ def _joined(items: DataFrame, n_words: int, budget: int, batch_rows: int) -> Dat
         own = item[lo, 2] == item[lo, 3]
         ranges = np.where(own[:, None], np.column_stack((lo, hi, lo, hi)), np.column_stack((lo, mid, mid, hi)))
         ranges = ranges[(ranges[:, 0] < ranges[:, 1]) & (ranges[:, 2] < ranges[:, 3])]
+        if len(carried) > 2:
+            found = []
+            trie_forest(keys, ranges, budget, parts=rows.column("part").to_numpy()[order], emit=lambda i, j: found.append(np.column_stack((rep[i], rep[j]))))
+            pairs = np.unique(np.sort(np.concatenate([np.empty((0, 2), np.int64), *found]), axis=1), axis=0)
+            return pa.RecordBatch.from_arrays([pa.array(pairs[:, 1]), pa.array(pairs[:, 0])], names=["a", "b"])
         label = trie_forest(keys, ranges, budget)
         linked = label != np.arange(len(label))
         return pa.RecordBatch.from_arrays([pa.array(rep[linked]), pa.array(rep[label[linked]])], names=["a", "b"])
@@ -245,7 +263,7 @@ def _joined(items: DataFrame, n_words: int, budget: int, batch_rows: int) -> Dat
         if count:
             yield links(pa.Table.from_batches(held))
 
-    return items.select("band", "cell", "x", "y", "depth", "err", "side", "fp", "rep").mapInArrow(run, "a long, b long")
+    return items.select("band", "cell", "x", "y", "depth", "err", "side", *carried).mapInArrow(run, "a long, b long")
 
 
 ITEM = ["band", "cell", "x", "y", "depth", "err"]
@@ -263,17 +281,18 @@ def _taken_apart(items: DataFrame, budget: int, n_words: int) -> DataFrame:
     side = F.when(own, (F.col("nib") > F.col("other")).cast("int")).otherwise(F.col("side"))
     return wide.select(
         "band", "cell", child("x", first).alias("x"), child("y", second).alias("y"),
-        (F.col("depth") + 4).cast("int").alias("depth"), F.expr("cast(err + bit_count(nib ^ other) as int)").alias("err"), side.cast("int").alias("side"), "fp", "rep",
+        (F.col("depth") + 4).cast("int").alias("depth"), F.expr("cast(err + bit_count(nib ^ other) as int)").alias("err"), side.cast("int").alias("side"), *_carried(items),
     )
 
 
 def near_links(classes: DataFrame, budget: int, bands: list[list[int]], n_words: int, cell_limit: int = 100_000, batch_rows: int = 100_000) -> DataFrame:
     """Links (a, b) between representatives that span every component of fingerprints within ``budget`` bits.
 
-    ``classes`` holds distinct fingerprints: (fp binary, rep long).
+    ``classes`` holds distinct fingerprints: (fp binary, rep long). With a column part (long), fingerprints may repeat and the
+    result holds all pairs within the budget that share a band and lie in different parts, the larger rep first; pairs may repeat.
     """
     zero = F.lit(0).cast("long")
-    items = _cells(classes, bands).select("band", "cell", zero.alias("x"), zero.alias("y"), F.lit(0).alias("depth"), F.lit(0).alias("err"), F.lit(0).alias("side"), "fp", "rep")
+    items = _cells(classes, bands).select("band", "cell", zero.alias("x"), zero.alias("y"), F.lit(0).alias("depth"), F.lit(0).alias("err"), F.lit(0).alias("side"), *_carried(classes))
     parts = []
     hot = items.groupBy(ITEM).count().where(F.col("count") > cell_limit).select(ITEM)
     while items is not None:
@@ -322,11 +341,111 @@ SIMILAR = {"shingle_words": 5, "n_words": 4, "budget": 50}
 SIMILAR_BANDS = permuted_bands(4, 14, 3)
 
 
+def shingle_set(text: bytes | None, shingle_words: int = 5) -> np.ndarray:
+    """Sorted 64-bit hashes of the different shingles; words and short texts as in ``fingerprint``. Empty without words."""
+    words = (text or b"").lower().split()
+    k = min(shingle_words, len(words))
+    digest = xxhash.xxh64_intdigest
+    return np.unique(np.fromiter((digest(b" ".join(words[i : i + k]), SEED) for i in range(len(words) - k + 1 if k else 0)), np.uint64))
+
+
+def set_fingerprint(hashes: np.ndarray, n_words: int = 4) -> bytes:
+    """SimHash of a set: every different shingle has one vote."""
+    ones = np.zeros(64 * n_words, np.int64)
+    for at in range(0, len(hashes), _BLOCK):
+        for w in range(n_words):
+            bits = np.unpackbits(_remixed(hashes[at : at + _BLOCK], w).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+            ones[64 * w : 64 * w + 64] += bits.sum(axis=0, dtype=np.int64)
+    return np.packbits((2 * ones > len(hashes)).reshape(n_words, 64)[:, ::-1], axis=1).tobytes()
+
+
+def _set_rows(docs: DataFrame, shingle_words: int, n_words: int | None) -> DataFrame:
+    """(id, digest, n, fp) of (id, t) rows, or (digest, hashes) where ``n_words`` is None."""
+
+    def run(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                sets = [shingle_set(x.as_py(), shingle_words) for x in pc.cast(part.column(1), pa.binary())]
+                digests = pa.array([xxhash.xxh3_128_digest(x.tobytes()) for x in sets], pa.binary())
+                if n_words is None:
+                    hashes = pa.array([x.view(np.int64) for x in sets], pa.list_(pa.int64()))
+                    yield pa.RecordBatch.from_arrays([digests, hashes], names=["digest", "hashes"])
+                else:
+                    sizes, prints = pa.array([len(x) for x in sets], pa.int64()), pa.array([set_fingerprint(x, n_words) for x in sets], pa.binary())
+                    yield pa.RecordBatch.from_arrays([part.column(0), digests, sizes, prints], names=["id", "digest", "n", "fp"])
+
+    return docs.mapInArrow(run, "digest binary, hashes array<long>" if n_words is None else "id long, digest binary, n long, fp binary")
+
+
+def _near(common, n_a, n_b):
+    """A Jaccard similarity of 0.8 or more, in whole numbers."""
+    return 5 * common >= 4 * (n_a + n_b - common)
+
+
+def _verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame, shingle_words: int) -> DataFrame:
+    """The (a, b) of ``pairs`` whose shingle sets are similar; only the texts of these pairs are read."""
+    named = classes.select("rep", "digest", "n", "id")
+    sized = pairs.join(named.select(F.col("rep").alias("a"), F.col("n").alias("n_a")), "a").join(named.select(F.col("rep").alias("b"), F.col("n").alias("n_b")), "b")
+    pairs = materialize(sized.where(_near(F.least("n_a", "n_b"), F.col("n_a"), F.col("n_b"))), "candidates")
+    needed = materialize(named.join(pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct(), "rep"), "needed")
+    found = _set_rows(texts.join(needed.select("id").distinct(), "id", "left_semi"), shingle_words, None)
+    # An id may stand at several texts: the digest tells which of them is meant.
+    sets = materialize(needed.select("rep", "digest").join(found, "digest").dropDuplicates(["rep"]).select("rep", "hashes"), "sets")
+    both = pairs.join(sets.select(F.col("rep").alias("a"), F.col("hashes").alias("x")), "a").join(sets.select(F.col("rep").alias("b"), F.col("hashes").alias("y")), "b")
+    return both.where(_near(F.size(F.array_intersect("x", "y")), F.col("n_a"), F.col("n_b"))).select("a", "b")
+
+
+def similar_groups(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 5, n_words: int = 4, budget: int = 50,
+    bands: list[list[int]] | None = None, cell_limit: int = 100_000, first: int = 4,
+) -> DataFrame:
+    """(id, component_id) of every row: components of links between shingle sets with a Jaccard similarity of 0.8 or more.
+
+    The trie join only proposes links and each is held against the sets. Equal sets are one class. First the proposals that span the
+    components are checked; where one fails, all pairs between what is not yet linked there are proposed, and checked
+    in rounds of ``first``, 16 x ``first``, ... pairs of a class, so that parts that become linked need no more.
+    """
+    bands = bands or SIMILAR_BANDS
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("t"))
+    prints = materialize(_set_rows(texts, shingle_words, n_words), "shingles")
+    grouped = prints.groupBy("digest").agg(F.min("id").alias("id"), F.first("fp").alias("fp"), F.first("n").alias("n"))
+    classes = materialize(grouped.withColumn("rep", F.monotonically_increasing_id()), "classes")
+    nodes = classes.where("id is not null")
+    # The trie takes different fingerprints; classes with the same one are proposed to each other through the smallest.
+    one = materialize(nodes.groupBy("fp").agg(F.min("rep").alias("rep")), "prints")
+    same = nodes.select("fp", F.col("rep").alias("a")).join(one.withColumnRenamed("rep", "b"), "fp").where("a <> b").select("a", "b")
+    proposed = near_links(one, budget, bands, n_words, cell_limit).union(same).where("a <> b")
+    spanning = materialize(proposed.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "spanning")
+    links = materialize(_verified(spanning, classes, texts, shingle_words), "verified")
+    roots = component_roots(links, "a", "b")
+    failed = spanning.join(links, ["a", "b"], "left_anti")
+    if not failed.isEmpty():
+        wide = component_roots(spanning, "a", "b").withColumnRenamed("root", "whole")
+        every = wide.select("u", "whole").union(wide.select(F.col("whole").alias("u"), "whole")).distinct()
+        parts = every.join(roots, "u", "left").select(F.col("u").alias("rep"), "whole", F.coalesce("root", "u").alias("part"))
+        torn = parts.groupBy("whole").agg(F.countDistinct("part").alias("k")).where("k > 1").select("whole")
+        open_ = materialize(parts.join(torn, "whole").join(nodes, "rep").select("rep", "fp", "part"), "open")
+        left = materialize(near_links(open_, budget, bands, n_words, cell_limit).distinct().join(spanning, ["a", "b"], "left_anti"), "left")
+        while not left.isEmpty():
+            turn = F.row_number().over(Window.partitionBy("a").orderBy("b"))
+            ranked = materialize(left.withColumn("turn", turn), "ranked")
+            links = materialize(links.union(_verified(ranked.where(F.col("turn") <= first).select("a", "b"), classes, texts, shingle_words)), "verified")
+            roots = component_roots(links, "a", "b")
+            side = lambda c: roots.select(F.col("u").alias(c), F.col("root").alias(f"root_{c}"))
+            rest = ranked.where(F.col("turn") > first).join(side("a"), "a", "left").join(side("b"), "b", "left")
+            left = materialize(rest.where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b"), "left")
+            first *= 16
+    named = classes.join(roots, classes["rep"] == roots["u"], "left").select("digest", "id", F.coalesce("root", "rep").alias("part"))
+    smallest = named.groupBy("part").agg(F.min("id").alias("component_id"))
+    return prints.select("id", "digest").join(named.join(smallest, "part").select("digest", "component_id"), "digest").select("id", "component_id")
+
+
 def keep_one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
     """``docs`` without the rows that are near duplicates of a row that stays; of each group the smallest id stays.
 
     Rows with a null id stay. Repeated rows of the id that stays all stay (they are exact dedup's work). Columns are as before.
     """
-    found = near_duplicates(docs, id_col, text_col, **({"bands": SIMILAR_BANDS} | SIMILAR | settings))
-    dropped = found.where("component_id <> doc_id").select(F.col("doc_id").alias(id_col)).distinct()
+    found = similar_groups(docs, id_col, text_col, **({"bands": SIMILAR_BANDS} | SIMILAR | settings))
+    dropped = found.where("component_id <> id").select(F.col("id").alias(id_col)).distinct()
     return docs.join(dropped, id_col, "left_anti").select(docs.columns)
