@@ -336,9 +336,11 @@ def near_duplicates(
 
 
 #: For 5-word shingles at a similarity of 0.8: 256 bits, of which 39 (deviation 6) differ on average at 0.8, 49 at 0.7 and 59 at 0.6.
-#: At 0.8 a pair agrees on one of the 54 bands with a probability of 0.996 and stays within the budget with one of 0.97.
-SIMILAR = {"shingle_words": 5, "n_words": 4, "budget": 50}
-SIMILAR_BANDS = permuted_bands(4, 14, 3)
+#: The budget lies four deviations above 0.8, and 126 bands are sampled; every proposal is checked, so a wide budget costs checks only.
+SIMILAR = {"shingle_words": 5, "n_words": 4, "budget": 64}
+SIMILAR_BANDS = permuted_bands(4, 14, 7)
+#: Up to this size similar sets differ by one shingle if at all, and are found without fingerprints, which are poor for so few votes.
+SMALL_SET = 8
 
 
 def shingle_set(text: bytes | None, shingle_words: int = 5) -> np.ndarray:
@@ -360,22 +362,27 @@ def set_fingerprint(hashes: np.ndarray, n_words: int = 4) -> bytes:
 
 
 def _set_rows(docs: DataFrame, shingle_words: int, n_words: int | None) -> DataFrame:
-    """(id, digest, n, fp) of (id, t) rows, or (digest, hashes) where ``n_words`` is None."""
+    """(id, digest, n, fp, less) of (id, t) rows, or (digest, hashes) where ``n_words`` is None.
+
+    ``less`` holds the digests of a small set without one of its shingles each.
+    """
+    digest = lambda x: xxhash.xxh3_128_digest(x.tobytes())
 
     def run(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 sets = [shingle_set(x.as_py(), shingle_words) for x in pc.cast(part.column(1), pa.binary())]
-                digests = pa.array([xxhash.xxh3_128_digest(x.tobytes()) for x in sets], pa.binary())
+                digests = pa.array([digest(x) for x in sets], pa.binary())
                 if n_words is None:
                     hashes = pa.array([x.view(np.int64) for x in sets], pa.list_(pa.int64()))
                     yield pa.RecordBatch.from_arrays([digests, hashes], names=["digest", "hashes"])
                 else:
                     sizes, prints = pa.array([len(x) for x in sets], pa.int64()), pa.array([set_fingerprint(x, n_words) for x in sets], pa.binary())
-                    yield pa.RecordBatch.from_arrays([part.column(0), digests, sizes, prints], names=["id", "digest", "n", "fp"])
+                    less = pa.array([[digest(np.delete(x, k)) for k in range(len(x))] if 5 <= len(x) <= SMALL_SET else [] for x in sets], pa.list_(pa.binary()))
+                    yield pa.RecordBatch.from_arrays([part.column(0), digests, sizes, prints, less], names=["id", "digest", "n", "fp", "less"])
 
-    return docs.mapInArrow(run, "digest binary, hashes array<long>" if n_words is None else "id long, digest binary, n long, fp binary")
+    return docs.mapInArrow(run, "digest binary, hashes array<long>" if n_words is None else "id long, digest binary, n long, fp binary, less array<binary>")
 
 
 def _near(common, n_a, n_b):
@@ -397,7 +404,7 @@ def _verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame, shingle_wo
 
 
 def similar_groups(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 5, n_words: int = 4, budget: int = 50,
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 5, n_words: int = 4, budget: int = SIMILAR["budget"],
     bands: list[list[int]] | None = None, cell_limit: int = 100_000, first: int = 4,
 ) -> DataFrame:
     """(id, component_id) of every row: components of links between shingle sets with a Jaccard similarity of 0.8 or more.
@@ -409,13 +416,15 @@ def similar_groups(
     bands = bands or SIMILAR_BANDS
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("t"))
     prints = materialize(_set_rows(texts, shingle_words, n_words), "shingles")
-    grouped = prints.groupBy("digest").agg(F.min("id").alias("id"), F.first("fp").alias("fp"), F.first("n").alias("n"))
+    grouped = prints.groupBy("digest").agg(F.min("id").alias("id"), F.first("fp").alias("fp"), F.first("n").alias("n"), F.first("less").alias("less"))
     classes = materialize(grouped.withColumn("rep", F.monotonically_increasing_id()), "classes")
     nodes = classes.where("id is not null")
     # The trie takes different fingerprints; classes with the same one are proposed to each other through the smallest.
     one = materialize(nodes.groupBy("fp").agg(F.min("rep").alias("rep")), "prints")
     same = nodes.select("fp", F.col("rep").alias("a")).join(one.withColumnRenamed("rep", "b"), "fp").where("a <> b").select("a", "b")
-    proposed = near_links(one, budget, bands, n_words, cell_limit).union(same).where("a <> b")
+    larger = nodes.where(F.size("less") > 0).select(F.col("rep").alias("a"), F.explode("less").alias("digest"))
+    small = larger.join(nodes.where(F.col("n") < SMALL_SET).select("digest", F.col("rep").alias("b")), "digest").select("a", "b")
+    proposed = near_links(one, budget, bands, n_words, cell_limit).union(same).union(small).where("a <> b")
     spanning = materialize(proposed.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "spanning")
     links = materialize(_verified(spanning, classes, texts, shingle_words), "verified")
     roots = component_roots(links, "a", "b")

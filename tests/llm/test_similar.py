@@ -72,3 +72,40 @@ def test_a_failed_proposal_hides_no_link(spark):
     rng.shuffle(texts)
     want = groups(texts)
     assert len(set(want)) == 12 and found(spark, texts) == want == found(spark, texts, first=1, cell_limit=8)
+
+
+def changed(rng, at_least, below):
+    """A text and a copy of a similarity in the range, made by replacing words that share no shingle."""
+    while True:
+        w = words(rng, 400)
+        v = list(w)
+        for k in rng.sample(range(1, 79), rng.randrange(4, 12)):
+            v[k * 5] = "other"
+        a, b = shingles(" ".join(w)), shingles(" ".join(v))
+        if at_least <= len(a & b) / len(a | b) < below:
+            return [" ".join(w), " ".join(v)]
+
+
+def test_pairs_around_the_threshold(spark):
+    rng = random.Random(4)
+    texts = [t for _ in range(200) for t in changed(rng, 0.78, 0.85)]
+    want = groups_of_pairs(texts)
+    assert 0 < sum(a == b for a, b in zip(want[::2], want[1::2])) < 200 and found(spark, texts) == want
+
+
+def groups_of_pairs(texts):
+    """Texts 2 k and 2 k + 1 are a pair; different pairs share next to nothing."""
+    return [k - k % 2 if near(texts[k - k % 2], texts[k - k % 2 + 1]) else k for k in range(len(texts))]
+
+
+def test_equal_sets_with_repeats_and_short_texts(spark):
+    rng = random.Random(5)
+    texts = []
+    for _ in range(5):
+        line, rest = words(rng, 12), words(rng, 100)
+        texts += [" ".join(line * 2 + rest), " ".join(line * 20 + rest)]
+    for k in range(60):
+        w = words(rng, 8 + k % 4)
+        texts += [" ".join(w), " ".join([*w, "more"])]
+    want = groups_of_pairs(texts)
+    assert want == [k - k % 2 for k in range(130)] and found(spark, texts) == want
