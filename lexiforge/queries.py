@@ -597,7 +597,7 @@ def B04_bpe_words(spark, d):
 
 @query()
 def B05_picky(spark, d):
-    seqs = read_table(spark, d, "benchmark").select(text.codepoints(F.col("text")).alias("seq"))
+    seqs = _docs(spark, d).select(text.codepoints(F.col("text")).alias("seq"))
     return picky.event_table(spark, picky.train(seqs, steps=12))
 
 
