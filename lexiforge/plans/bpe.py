@@ -176,7 +176,7 @@ class WordTrainer:
 
 def train_words(words: DataFrame, vocab_size: int, min_frequency: int = 2, specials: list[str] | None = None, driver_limit: int = 2_000_000) -> tuple[list[str], list[tuple[str, str, int]]]:
     """B04 on (token, count) words. The merge loop is sequential and runs on the driver on at most ``driver_limit`` different words;
-    more are refused, and ``train`` (one merge a round, if need be) is the way for them."""
+    more are refused, and ``train_all_words`` is the way for them."""
     rows = words.where("token <> ''").limit(driver_limit + 1).collect()
     if len(rows) > driver_limit:
         raise ValueError(f"over {driver_limit} different words: use the distributed rounds of train()")
@@ -185,6 +185,39 @@ def train_words(words: DataFrame, vocab_size: int, min_frequency: int = 2, speci
     return special + tokens, merges
 
 
+def train_words_rounds(words: DataFrame, vocab_size: int, min_frequency: int = 2, specials: list[str] | None = None, between: int = 16) -> tuple[list[str], list[tuple[str, str, int]]]:
+    """B04 for any number of different words: the merges of ``train_words``, one a round, from distributed pair counts.
+
+    Words are written again after every ``between`` merges; until then the merges are applied in order on the way.
+    """
+    base = materialize(words.where("token <> ''").select(codepoints(F.col("token")).alias("seq"), "count"), "words")
+    special = list(dict.fromkeys(specials or []))
+    tokens = sorted(chr(r["s"]) for r in base.select(F.explode("seq").alias("s")).distinct().collect())  # an alphabet
+    # Code points are ordered as the alphabet is and merged tokens come behind, so symbols break ties as ids do.
+    symbols, names, merges, now, pending = {}, {}, [], base, 0
+    while len(tokens) < vocab_size - len(special):
+        best = top_pairs(symbol_pairs(now), 1, max(1, min_frequency)).first()
+        if best is None:
+            break
+        left, right = (names.get(s) or chr(s) for s in (best["a"], best["b"]))
+        if left + right not in symbols:
+            symbols[left + right] = FIRST_MERGED + len(symbols)
+            names[symbols[left + right]] = left + right
+            tokens.append(left + right)
+        merges.append((left, right, best["cnt"]))
+        now, pending = apply_merges(now, "seq", [(best["a"], best["b"], symbols[left + right])]), pending + 1
+        if pending == between:
+            now, pending = materialize(now, "words"), 0
+    return special + tokens, merges
+
+
+def train_all_words(words: DataFrame, vocab_size: int, min_frequency: int = 2, specials: list[str] | None = None, driver_limit: int = 2_000_000) -> tuple[list[str], list[tuple[str, str, int]]]:
+    """On the driver up to ``driver_limit`` different words, by ``train_words_rounds`` beyond; the results are the same."""
+    words = materialize(words, "word_counts")
+    few = words.where("token <> ''").count() <= driver_limit
+    return train_words(words, vocab_size, min_frequency, specials, driver_limit) if few else train_words_rounds(words, vocab_size, min_frequency, specials)
+
+
 def artifacts(tokens: list[str], merges: list[tuple[str, str]], specials: list[str], extra: dict | None = None) -> dict[str, str]:
     """File name -> content. Merges are also written as JSON pairs, since a token may hold spaces."""
     order = list(dict.fromkeys([*specials, *tokens]))

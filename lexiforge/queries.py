@@ -591,7 +591,7 @@ def B02_bpe_rounds(spark, d):
 @query()
 def B04_bpe_words(spark, d):
     words = counts.token_counts(_docs(spark, d), metrics.whitespace_tokens(F.col("text")))
-    tokens, merges = bpe.train_words(words, 400, specials=["<pad>", "<unk>"])
+    tokens, merges = bpe.train_all_words(words, 400, specials=["<pad>", "<unk>"])
     return spark.createDataFrame([(k, *m) for k, m in enumerate(merges)], "rank int, left string, right string, cnt long")
 
 

@@ -1,7 +1,9 @@
 """Registered training queries over the whole documents table against plain Python."""
 
 import random
+from collections import Counter
 
+from lexiforge.plans import bpe
 from lexiforge.queries import QUERIES
 from test_training import slow_picky
 
@@ -13,3 +15,11 @@ def test_picky_reads_all_documents(spark, tmp_path):
     spark.createDataFrame([(0, "xyxyxy")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     got = [tuple(r) for r in QUERIES["B05_picky"](spark, str(tmp_path)).collect()]
     assert got == slow_picky([[ord(c) for c in t] for t in texts], 12, 0.9, "as_is")
+
+
+def test_more_words_than_the_driver_takes(spark):
+    rng = random.Random(7)
+    words = Counter("".join(rng.choice("aab") for _ in range(rng.randrange(1, 7))) for _ in range(120))
+    words = spark.createDataFrame(list(words.items()), "token string, count long")
+    want = bpe.train_words(words, 16, specials=["<pad>"])
+    assert len(want[1]) > 10 and bpe.train_all_words(words, 16, specials=["<pad>"], driver_limit=5) == want
