@@ -25,10 +25,15 @@ def shared_root(spark: SparkSession) -> str:
     return root
 
 
+def new_path(spark: SparkSession, name: str) -> str:
+    """A path in the shared folder that nothing uses yet."""
+    return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def materialize(df: DataFrame, name: str = "stage", partition_by: list[str] | None = None) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back: later plans reuse the files."""
     spark = df.sparkSession
-    path = f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
+    path = new_path(spark, name)
     writer = df.write.option("compression", "zstd")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
