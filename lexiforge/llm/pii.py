@@ -8,12 +8,22 @@ documents, so links hold. What fails its validation stays.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import secrets
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _WORD = r"[A-Za-z0-9._%+-]"
 EMAIL = rf"(?<!{_WORD}){_WORD}++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+"
-PHONE = r"(?<![0-9+])\+[0-9]{1,3}[ .-]?\(?[0-9]{2,4}\)?[ .-]?[0-9]{3,4}[ .-]?[0-9]{3,4}(?![0-9])|(?<![0-9])\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}(?![0-9])|(?<![0-9-])[0-9]{3}-[0-9]{3}-[0-9]{4}(?![0-9-])"
+PHONE = "|".join((
+    r"(?<![0-9+])\+[0-9]{1,3}[ .-]?\(?[0-9]{2,4}\)?[ .-]?[0-9]{3,4}[ .-]?[0-9]{3,4}(?![0-9])",
+    r"(?<![0-9+])\+[0-9]{1,3}(?:[ .-][0-9]{1,4}){3,5}(?![0-9])",  # +33 6 12 34 56 78, +49 30 123 45 67
+    r"(?<![0-9])\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}(?![0-9])",
+    r"(?<![0-9-])[0-9]{3}-[0-9]{3}-[0-9]{4}(?![0-9-])",
+    r"(?<![0-9.])[2-9][0-9]{2}\.[2-9][0-9]{2}\.[0-9]{4}(?![0-9]|\.[0-9])",  # 415.555.2671
+    r"(?<![0-9+.,-])0[1-9](?:[ .][0-9]{2}){4}(?![0-9]|[.,][0-9])",  # 06 12 34 56 78
+    r"(?<![0-9+.,-])0[1-9][0-9]{1,3}[ /-][0-9]{6,8}(?![0-9]|[.,][0-9])",  # 0171 2345678
+))
 CARD = r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{4}|[0-9]{4}([ -])[0-9]{6}\2[0-9]{5})(?![0-9])"
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
@@ -22,6 +32,8 @@ DATE = r"(?<![0-9])(?:(?:19|20)[0-9]{2}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/(?:1
 KINDS = {"email": EMAIL, "phone": PHONE, "card": CARD, "ssn": SSN, "date": DATE, "ip": IP}
 FOUND = "|".join(KINDS.values())
 
+#: Where a session keeps its key; Spark's own pages hide settings with "secret" in their names.
+KEY_SETTING = "spark.lexiforge.pii.secret"
 #: Rounds of each Feistel network.
 ROUNDS = 8
 #: Days of 1900-2099 = 17 x 4297: a two-part Feistel network covers them exactly.
@@ -84,8 +96,8 @@ def _card(key: str, m: str) -> str:
 
 
 def _phone(key: str, m: str) -> str:
-    """The country code stays."""
-    code = f"regexp_extract({m}, '^([+][0-9]{{1,3}}(?=[ .(-]))?', 0)"
+    """The country code, or the zero of a national number, stays."""
+    code = f"regexp_extract({m}, '^([+][0-9]{{1,3}}(?=[ .(-])|0)?', 0)"
     rest = f"substring({m}, length({code}) + 1)"
     return f"concat({code}, {_filled(rest, _digits(key, 'phone', _only_digits(rest)))})"
 
@@ -106,13 +118,18 @@ def _ip(key: str, m: str) -> str:
 
 
 def _date(key: str, m: str) -> str:
-    """Days of 1900-01-01 to 2099-12-31, in whichever of the three formats; what is no day of the calendar stays."""
-    iso = f"if({m} like '%-%', {m}, concat_ws('-', substring({m}, 7, 4), substring({m}, 4, 2), substring({m}, 1, 2)))"
-    day = f"datediff(try_to_date({iso}, 'yyyy-MM-dd'), date'1900-01-01')"
+    """Days of 1900-01-01 to 2099-12-31, in whichever of the formats; what is no day of the calendar stays.
+
+    With slashes the day comes first if that gives a day, else the month.
+    """
+    year, one, two = (f"substring({m}, {at}, {n})" for at, n in ((7, 4), (1, 2), (4, 2)))
+    first, turned = f"if({m} like '%-%', {m}, concat_ws('-', {year}, {two}, {one}))", f"if({m} like '%/%', concat_ws('-', {year}, {one}, {two}), null)"
+    real = lambda iso: f"try_to_date({iso}, 'yyyy-MM-dd')"
+    day = "datediff(d, date'1900-01-01')"
     both = _feistel(key, "date", f"cast({day} div {DAYS[1]} as bigint)", f"cast({day} % {DAYS[1]} as bigint)", f"{DAYS[0]}L", f"{DAYS[1]}L")
     made = f"element_at(transform(array({both}), f -> date_add(date'1900-01-01', cast(f.l * {DAYS[1]} + f.r as int))), 1)"
-    shown = f"element_at(transform(array({made}), t -> case when {m} like '%-%' then date_format(t, 'yyyy-MM-dd') when {m} like '%/%' then date_format(t, 'dd/MM/yyyy') else date_format(t, 'dd.MM.yyyy') end), 1)"
-    return f"if(try_to_date({iso}, 'yyyy-MM-dd') is null, {m}, {shown})"
+    style = f"case when {m} like '%-%' then 'yyyy-MM-dd' when {m} like '%.%' then 'dd.MM.yyyy' when {real(first)} is null then 'MM/dd/yyyy' else 'dd/MM/yyyy' end"
+    return f"element_at(transform(array(coalesce({real(first)}, {real(turned)})), d -> if(d is null, {m}, date_format({made}, {style}))), 1)"
 
 
 def _email(key: str, m: str) -> str:
@@ -135,12 +152,22 @@ def _kind_of(m: str) -> str:
     return f"case {cases} end"
 
 
-def pseudonyms(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", key: str = "change me") -> DataFrame:
+def key_of(spark: SparkSession) -> str:
+    """The key of the session's setting; where that is unset, a random one that the session keeps and nobody else knows."""
+    if not spark.conf.get(KEY_SETTING, None):
+        spark.conf.set(KEY_SETTING, secrets.token_hex(32))
+    return spark.conf.get(KEY_SETTING)
+
+
+def pseudonyms(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", key: str | None = None) -> DataFrame:
     """``docs`` with pseudonyms in ``text_col`` and a last column ``pii_kinds`` (array of the kind of each value that changed).
 
+    Without a ``key`` that of the session counts (``key_of``); set it to get the same pseudonyms in another session. The key stands
+    in Spark's plans, so who may read those may invert the pseudonyms.
     Null texts stay null, with no kinds; empty texts stay empty. Repeated rows and null ids are rows like any others. An empty table
     gives an empty result. ``pii_kinds`` replaces a column of that name.
     """
+    key = key or key_of(docs.sparkSession)
     cases = " ".join(f"when '{k}' then {make(key, 'm')}" for k, make in _MAKERS.items())
     taken = {c.lower() for c in docs.columns}
     prefix = "_"
@@ -158,7 +185,7 @@ def pseudonyms(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return work.select(*columns, F.coalesce(F.expr(kinds), F.expr("cast(array() as array<string>)")).alias("pii_kinds"))
 
 
-def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", key: str = "change me") -> DataFrame:
+def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", key: str | None = None) -> DataFrame:
     """(doc_id, text, n_email, n_phone, n_card, n_ssn, n_date, n_ip): the new text, and how many values of each kind changed."""
     done = pseudonyms(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), "doc_id", "text", key)
     return done.select("doc_id", "text", *[F.expr(f"cast(size(filter(pii_kinds, k -> k = '{k}')) as long)").alias(f"n_{k}") for k in KINDS])

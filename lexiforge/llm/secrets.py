@@ -11,9 +11,13 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexiforge.storage import materialize
+from lexiforge.storage import materialize, new_path
 
 SPANS = "array<struct<start: int, rank: int, end: int, kind: string>>"
+SEEN = "array<struct<kind: string, version: int>>"
+LEDGER = f"blob binary, rules {SEEN}, spans {SPANS}"
+#: Matches of a text that are gathered in one step.
+CHUNK = 256
 
 
 def _either_case(word: str) -> str:
@@ -58,17 +62,21 @@ def spans_of(text: str, rule: Rule, rank: int) -> Column:
     """Spans of a rule in the string column named ``text``; ends are exclusive, in code points.
 
     What lies between the matches, and the matches, follow each other without a gap, so their lengths add up to positions.
+    Spans are gathered in chunks, and the chunks in a second step, so that very many matches of one text cost little more than each alone.
     """
     p = _quoted(rule.pattern)
     found = f"regexp_extract_all({text}, {p}, 0)"
     judged = found if not rule.group else f"regexp_extract_all({text}, {p}, {rule.group})"
     # The last gap has no match behind it: slice() takes it away before the arrays are zipped.
-    zipped = f"zip_with(slice(split({text}, {p}, -1), 1, size({found})), zip_with({found}, {judged}, (h, j) -> struct(h as hit, length(j) >= {rule.least} as good)), (g, m) -> struct(g as gap, m.hit as hit, m.good as good))"
-    all_spans = (
-        f"aggregate({zipped}, struct(0 as at, cast(array() as {SPANS}) as spans), (a, m) -> struct(a.at + length(m.gap) + length(m.hit) as at, "
-        f"if(m.good, concat(a.spans, array(struct(a.at + length(m.gap) as start, {rank} as rank, a.at + length(m.gap) + length(m.hit) as end, '{rule.kind}' as kind))), a.spans) as spans), a -> a.spans)"
-    )
-    return F.expr(f"case when regexp({text}, {_quoted(_probe(rule))}) then {all_spans} else cast(array() as {SPANS}) end")
+    zipped = f"zip_with(slice(split({text}, {p}, -1), 1, size({found})), zip_with({found}, {judged}, (h, j) -> struct(length(h) as hit, length(j) >= {rule.least} as good)), (g, m) -> struct(length(g) as gap, m.hit as hit, m.good as good))"
+    one = f"struct(a.at + m.gap as start, {rank} as rank, a.at + m.gap + m.hit as end, '{rule.kind}' as kind)"
+    gather = f"(a, m) -> struct(a.at + m.gap + m.hit as at, if(m.good, concat(a.spans, array({one})), a.spans) as spans)"
+    chunks = f"transform(sequence(0, (size(z) - 1) div {CHUNK}), k -> slice(z, k * {CHUNK} + 1, {CHUNK}))"
+    none = f"cast(array() as {SPANS})"
+    in_chunk = f"aggregate(c, struct(t.at as at, {none} as spans), {gather})"
+    each = f"aggregate({chunks}, struct(0 as at, {none} as spans), (t, c) -> element_at(transform(array({in_chunk}), r -> struct(r.at as at, concat(t.spans, r.spans) as spans)), 1), t -> t.spans)"
+    all_spans = f"element_at(transform(array({zipped}), z -> {each}), 1)"
+    return F.expr(f"case when regexp({text}, {_quoted(_probe(rule))}) then {all_spans} else {none} end")
 
 
 def _probe(rule: Rule) -> str:
@@ -82,42 +90,48 @@ def blobs_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).alias("path"), F.unhex(F.sha2(text, 256)).alias("blob"), text.alias("text"))
 
 
+def _named(rules: list[Rule]) -> Column:
+    return F.array(*[F.struct(F.lit(r.kind).alias("kind"), F.lit(r.version).alias("version")) for r in rules])
+
+
 def scan_unseen(versions: DataFrame, ledger: DataFrame | None, rules: list[Rule]) -> DataFrame:
-    """(blob, rules, spans) of blobs that lack a rule's version in the ledger: what was scanned now, and the findings of it."""
-    texts = versions.groupBy("blob").agg(F.first("text").alias("text"))
-    wanted = F.array(*[F.struct(F.lit(r.kind).alias("kind"), F.lit(r.version).alias("version")) for r in rules])
+    """(blob, rules, spans) of blobs that lack a rule's version in the ledger: what was scanned now, and the findings of it.
+
+    Texts are scanned where they are read and never shuffled: against an empty ledger every version is scanned and equal blobs
+    meet only as findings; else the unseen blobs are picked by digest first, and the texts join them (Spark broadcasts them if they are few).
+    """
+    wanted, nothing = _named(rules), F.expr(f"cast(array() as {SPANS})")
     if ledger is None:
-        texts = texts.withColumn("rules", wanted)
+        texts = versions.select("blob", "text", wanted.alias("rules"))
     else:
-        seen = ledger.groupBy("blob").agg(F.array_distinct(F.flatten(F.collect_list("rules"))).alias("seen"))
-        known = F.coalesce("seen", F.expr("cast(array() as array<struct<kind: string, version: int>>)"))
-        texts = texts.join(seen, "blob", "left").select("blob", "text", F.array_except(wanted, known).alias("rules")).where("size(rules) > 0")
-    parts = [F.when(F.array_contains("rules", F.struct(F.lit(r.kind).alias("kind"), F.lit(r.version).alias("version"))), spans_of("text", r, k)).otherwise(F.expr(f"cast(array() as {SPANS})")) for k, r in enumerate(rules)]
-    return texts.select("blob", "rules", F.array_sort(F.concat(*parts)).alias("spans"))
+        seen = ledger.groupBy("blob").agg(F.array_distinct(F.flatten(F.collect_set("rules"))).alias("seen"))
+        lacks = F.array_except(wanted, F.coalesce("seen", F.expr(f"cast(array() as {SEEN})")))
+        unseen = versions.select("blob").distinct().join(seen, "blob", "left").select("blob", lacks.alias("rules")).where("size(rules) > 0")
+        texts = versions.select("blob", "text").join(materialize(unseen, "unseen"), "blob")
+    parts = [F.when(F.array_contains("rules", F.struct(F.lit(r.kind).alias("kind"), F.lit(r.version).alias("version"))), spans_of("text", r, k)).otherwise(nothing) for k, r in enumerate(rules)]
+    return texts.select("blob", "rules", F.array_sort(F.concat(*parts)).alias("spans")).groupBy("blob").agg(F.first("rules").alias("rules"), F.first("spans").alias("spans"))
 
 
 def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules: list[Rule] | None = None, ledger_path: str | None = None) -> DataFrame:
     """(path, spans) for every row of ``docs``; spans by start, then in the order of the rules.
 
-    With a ``ledger_path`` the ledger kept there is read if it exists, only what it lacks is scanned, and that is appended to it.
-    Null and empty texts have no spans. Repeated rows and null ids each give a row; other columns are not read; an empty
+    The ledger at ``ledger_path`` is read if it exists, only what it lacks is scanned, and that is appended to it; without a path
+    a new one is made in the shared folder. Findings come from the ledger. What two writers append at once may stand there twice and
+    counts once. Null and empty texts have no spans. Repeated rows and null ids each give a row; other columns are not read; an empty
     table gives an empty result.
     """
     rules = RULES if rules is None else rules
+    spark = docs.sparkSession
+    ledger_path = ledger_path or new_path(spark, "ledger")
     versions = blobs_of(docs, id_col, text_col)
-    if ledger_path is None:
-        found = materialize(scan_unseen(versions, None, rules).where("size(spans) > 0").select("blob", "spans"), "findings")
-    else:
-        spark = docs.sparkSession
-        path = spark._jvm.org.apache.hadoop.fs.Path(ledger_path)
-        there = path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
-        scan_unseen(versions, spark.read.parquet(ledger_path) if there else None, rules).write.mode("append").parquet(ledger_path)
-        now = F.array(*[F.struct(F.lit(r.kind).alias("kind"), F.lit(r.version).alias("version")) for r in rules])
-        ledger = spark.read.parquet(ledger_path).where("size(spans) > 0").withColumn("good", F.array_intersect("rules", now))
-        ranks = F.create_map(*[F.lit(x) for k, r in enumerate(rules) for x in (r.kind, k)])
-        spans = F.expr("filter(spans, s -> exists(good, g -> g.kind = s.kind))")
-        spans = F.transform(spans, lambda s: F.struct(s["start"].alias("start"), ranks[s["kind"]].alias("rank"), s["end"].alias("end"), s["kind"].alias("kind")))
-        found = ledger.select("blob", spans.alias("spans")).groupBy("blob").agg(F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"))
+    path = spark._jvm.org.apache.hadoop.fs.Path(ledger_path)
+    there = path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+    scan_unseen(versions, spark.read.schema(LEDGER).parquet(ledger_path) if there else None, rules).write.mode("append").parquet(ledger_path)
+    hits = spark.read.schema(LEDGER).parquet(ledger_path).where("size(spans) > 0").withColumn("good", F.array_intersect("rules", _named(rules)))
+    ranks = F.create_map(*[F.lit(x) for k, r in enumerate(rules) for x in (r.kind, k)])
+    spans = F.transform(F.expr("filter(spans, s -> exists(good, g -> g.kind = s.kind))"), lambda s: F.struct(s["start"].alias("start"), ranks[s["kind"]].alias("rank"), s["end"].alias("end"), s["kind"].alias("kind")))
+    # A set of lists, then a set of spans: rows that were appended twice count once.
+    found = hits.select("blob", spans.alias("spans")).groupBy("blob").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set("spans")))).alias("spans"))
     return versions.select("path", "blob").join(found, "blob", "left").select("path", F.coalesce("spans", F.expr(f"cast(array() as {SPANS})")).alias("spans"))
 
 
