@@ -9,13 +9,15 @@ traversal as DataFrame steps, four bits at a time, so that no task holds an unbo
 
 from __future__ import annotations
 
+import itertools
+import math
 import random
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexiforge.llm.components import component_roots
@@ -82,6 +84,20 @@ def contiguous_bands(n_words: int, count: int) -> list[list[int]]:
     return [list(range(a, b)) for a, b in zip(cuts, cuts[1:])]
 
 
+def lossless_bands(n_words: int, budget: int, rows: int, cell_limit: int) -> list[list[int]]:
+    """Bands that lose no pair within ``budget``, wide enough for ``rows`` fingerprints.
+
+    Of ``budget + agree`` disjoint blocks at least ``agree`` hold no differing bit, so every choice of ``agree`` blocks is a band. More
+    blocks make wider bands, hence smaller cells, for more copies of each row; the fewest that keep random cells below the limit are taken.
+    """
+    for agree in range(1, budget + 1):
+        blocks = contiguous_bands(n_words, budget + agree)
+        bands = [sum(chosen, []) for chosen in itertools.combinations(blocks, agree)]
+        if rows >> min(map(len, bands)) <= cell_limit // 8:
+            break
+    return bands
+
+
 def permuted_bands(n_words: int, bits: int, rounds: int, seed: int = 7) -> list[list[int]]:
     """Bands of ``bits`` bits from ``rounds`` seeded permutations of all bits."""
     rng, out = random.Random(seed), []
@@ -92,12 +108,16 @@ def permuted_bands(n_words: int, bits: int, rounds: int, seed: int = 7) -> list[
     return out
 
 
+#: Columns that go with a row, beside fp and rep, where a table has them.
+_EXTRA = {"part": "long", "wide": "binary"}
+
+
 def _carried(rows: DataFrame) -> list[str]:
-    return ["fp", "rep", "part"] if "part" in rows.columns else ["fp", "rep"]
+    return ["fp", "rep", *(c for c in _EXTRA if c in rows.columns)]
 
 
 def _cells(classes: DataFrame, bands: list[list[int]]) -> DataFrame:
-    """A row for each fingerprint and band: (band, cell, fp, rep), and part where ``classes`` has it."""
+    """A row for each fingerprint and band: (band, cell, fp, rep), and what else a row carries."""
     carried = _carried(classes)
 
     def run(batches):
@@ -110,14 +130,15 @@ def _cells(classes: DataFrame, bands: list[list[int]]) -> DataFrame:
                 cell = bits[:, band].astype(np.int64) @ (np.int64(1) << np.arange(len(band), dtype=np.int64))
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(n, b, np.int32)), pa.array(cell), *batch.columns], names=["band", "cell", *carried])
 
-    return classes.select(carried).mapInArrow(run, "band int, cell long, fp binary, rep long" + ", part long" * (len(carried) > 2))
+    return classes.select(carried).mapInArrow(run, "band int, cell long, fp binary, rep long" + "".join(f", {c} {_EXTRA[c]}" for c in carried[2:]))
 
 
 class _Forest:
-    """Components of 0..n-1, labelled by their smallest member."""
+    """Components of 0..n-1, labelled by their smallest member; ``spans`` gets the pairs that made them grow together."""
 
-    def __init__(self, n: int):
+    def __init__(self, n: int, spans=None):
         self.label = np.arange(n)
+        self.spans = spans
         self._changes = None
 
     def union(self, i: np.ndarray, j: np.ndarray) -> None:
@@ -129,8 +150,13 @@ class _Forest:
             if not apart.any():
                 return
             i, j, a, b = i[apart], j[apart], a[apart], b[apart]
+            high, low = np.maximum(a, b), np.minimum(a, b)
+            order = np.lexsort((low, high))
+            first = order[np.concatenate(([True], high[order[1:]] != high[order[:-1]]))]  # each root hangs below one smaller root
+            if self.spans is not None:
+                self.spans(i[first], j[first])
             parent = np.arange(len(self.label))
-            np.minimum.at(parent, np.maximum(a, b), np.minimum(a, b))
+            parent[high[first]] = low[first]
             while True:
                 up = parent[parent]
                 if np.array_equal(up, parent):
@@ -146,15 +172,20 @@ class _Forest:
         return self._changes[hi - 1] == self._changes[lo]
 
 
-def trie_forest(keys: np.ndarray, ranges: np.ndarray, budget: int, leaf: int = 1024, parts: np.ndarray | None = None, emit=None) -> np.ndarray:
+def trie_forest(
+    keys: np.ndarray, ranges: np.ndarray, budget: int | tuple[int, ...], leaf: int = 1024, parts: np.ndarray | None = None, emit=None, spans=None,
+    wide: np.ndarray | None = None, wide_budget: int = 0,
+) -> np.ndarray:
     """Component label of each row of ``keys`` (n x words, uint64), linked where at most ``budget`` bits differ.
 
-    ``ranges`` has a row (lo_a, hi_a, lo_b, hi_b) for each pair of tries to join; keys are sorted within each range. With ``parts``
-    nothing is linked: all near pairs of rows of different parts go to ``emit(i, j)``.
+    ``ranges`` has a row (lo_a, hi_a, lo_b, hi_b) for each pair of tries to join; keys are sorted within each range. Several rising budgets
+    make several passes, so that close pairs link before wide ones. Rows of one part are linked from the start. ``spans(i, j)`` gets the
+    pairs that linked. With ``emit`` nothing is linked: it gets all near pairs of rows of different parts whose ``wide`` sketches differ in
+    at most ``wide_budget`` bits.
     """
     n = len(keys)
-    forest, ones_before = _Forest(n), {}
-    if emit is not None:
+    forest, ones_before = _Forest(n, spans), {}
+    if parts is not None:
         _, at, back = np.unique(parts, return_index=True, return_inverse=True)
         forest.label = at[back]
 
@@ -164,7 +195,7 @@ def trie_forest(keys: np.ndarray, ranges: np.ndarray, budget: int, leaf: int = 1
             ones_before[depth] = np.concatenate(([0], np.cumsum(bit.astype(np.int64)))).astype(np.int32)
         return ones_before[depth]
 
-    def compare(f: np.ndarray) -> None:
+    def compare(f: np.ndarray, budget: int) -> None:
         """All key pairs of these node pairs, a bounded number at a time."""
         width = f[:, 3] - f[:, 2]
         sizes = (f[:, 1] - f[:, 0]) * width
@@ -180,43 +211,53 @@ def trie_forest(keys: np.ndarray, ranges: np.ndarray, budget: int, leaf: int = 1
             for w in range(keys.shape[1]):
                 off += np.bitwise_count(keys[i, w] ^ keys[j, w])
             near = off <= budget
-            if emit is not None:
-                emit(i[near], j[near])
-            else:
-                forest.union(i[near], j[near])
-
-    stack = [(0, np.column_stack((ranges, np.zeros(len(ranges), np.int64))))] if len(ranges) else []
-    while stack:
-        depth, f = stack.pop()
-        done = forest.one(f[:, 0], f[:, 1]) & forest.one(f[:, 2], f[:, 3]) & (forest.label[f[:, 0]] == forest.label[f[:, 2]])
-        f = f[~done]
-        small = ((f[:, 1] - f[:, 0]) * (f[:, 3] - f[:, 2]) <= leaf) | (depth == 64 * keys.shape[1])
-        compare(f[small])
-        f = f[~small]
-        if not len(f):
-            continue
-        c = ones(depth)
-        mid_a, mid_b = f[:, 1] - (c[f[:, 1]] - c[f[:, 0]]), f[:, 3] - (c[f[:, 3]] - c[f[:, 2]])
-        same = (f[:, 0] == f[:, 2]) & (f[:, 1] == f[:, 3])
-        pieces = []
-        for a, b in ((0, 1), (1, 0), (1, 1), (0, 0)):
-            child = f.copy()
-            child[:, 0 if a else 1] = mid_a
-            child[:, 2 if b else 3] = mid_b
-            child[:, 4] += a != b
-            keep = (child[:, 0] < child[:, 1]) & (child[:, 2] < child[:, 3]) & (child[:, 4] <= budget)
-            if (a, b) == (1, 0):
-                keep &= ~same
-            pieces.append(child[keep])
-        children = np.concatenate(pieces)
-        children = children[np.argsort((children[:, 0] == children[:, 2]).astype(np.int8), kind="stable")]
-        for at in range(0, len(children), _PAIRS // 4):
-            stack.append((depth + 1, children[at : at + _PAIRS // 4]))
+            i, j = i[near], j[near]
+            if emit is None:
+                forest.union(i, j)
+                continue
+            for c in range(0, len(i), 1 << 15):
+                x, y = i[c : c + (1 << 15)], j[c : c + (1 << 15)]
+                if wide is not None:
+                    close = np.bitwise_count(wide[x] ^ wide[y]).sum(axis=1, dtype=np.int64) <= wide_budget
+                    x, y = x[close], y[close]
+                emit(x, y)
+
+    def walk(budget: int) -> None:
+        stack = [(0, np.column_stack((ranges, np.zeros(len(ranges), np.int64))))] if len(ranges) else []
+        while stack:
+            depth, f = stack.pop()
+            done = forest.one(f[:, 0], f[:, 1]) & forest.one(f[:, 2], f[:, 3]) & (forest.label[f[:, 0]] == forest.label[f[:, 2]])
+            f = f[~done]
+            small = ((f[:, 1] - f[:, 0]) * (f[:, 3] - f[:, 2]) <= leaf) | (depth == 64 * keys.shape[1])
+            compare(f[small], budget)
+            f = f[~small]
+            if not len(f):
+                continue
+            c = ones(depth)
+            mid_a, mid_b = f[:, 1] - (c[f[:, 1]] - c[f[:, 0]]), f[:, 3] - (c[f[:, 3]] - c[f[:, 2]])
+            same = (f[:, 0] == f[:, 2]) & (f[:, 1] == f[:, 3])
+            pieces = []
+            for a, b in ((0, 1), (1, 0), (1, 1), (0, 0)):
+                child = f.copy()
+                child[:, 0 if a else 1] = mid_a
+                child[:, 2 if b else 3] = mid_b
+                child[:, 4] += a != b
+                keep = (child[:, 0] < child[:, 1]) & (child[:, 2] < child[:, 3]) & (child[:, 4] <= budget)
+                if (a, b) == (1, 0):
+                    keep &= ~same
+                pieces.append(child[keep])
+            children = np.concatenate(pieces)
+            children = children[np.argsort((children[:, 0] == children[:, 2]).astype(np.int8), kind="stable")]
+            for at in range(0, len(children), _PAIRS // 4):
+                stack.append((depth + 1, children[at : at + _PAIRS // 4]))
+
+    for step in [budget] if isinstance(budget, int) else budget:
+        walk(step)
     return forest.label
 
 
-def _joined(items: DataFrame, n_words: int, budget: int, batch_rows: int) -> DataFrame:
-    """(a, b) pairs of representatives that span the components within each item; with parts, all near pairs across them."""
+def _joined(items: DataFrame, n_words: int, budget: int | tuple[int, ...], batch_rows: int, every: bool, wide_budget: int) -> DataFrame:
+    """(a, b) near pairs of representatives: those that span the components of parts within each item, or every one across parts."""
     carried = _carried(items)
 
     def links(rows: pa.Table):
@@ -233,14 +274,14 @@ def _joined(items: DataFrame, n_words: int, budget: int, batch_rows: int) -> Dat
         own = item[lo, 2] == item[lo, 3]
         ranges = np.where(own[:, None], np.column_stack((lo, hi, lo, hi)), np.column_stack((lo, mid, mid, hi)))
         ranges = ranges[(ranges[:, 0] < ranges[:, 1]) & (ranges[:, 2] < ranges[:, 3])]
-        if len(carried) > 2:
-            found = []
-            trie_forest(keys, ranges, budget, parts=rows.column("part").to_numpy()[order], emit=lambda i, j: found.append(np.column_stack((rep[i], rep[j]))))
-            pairs = np.unique(np.sort(np.concatenate([np.empty((0, 2), np.int64), *found]), axis=1), axis=0)
-            return pa.RecordBatch.from_arrays([pa.array(pairs[:, 1]), pa.array(pairs[:, 0])], names=["a", "b"])
-        label = trie_forest(keys, ranges, budget)
-        linked = label != np.arange(len(label))
-        return pa.RecordBatch.from_arrays([pa.array(rep[linked]), pa.array(rep[label[linked]])], names=["a", "b"])
+        column = lambda c: rows.column(c).take(pa.array(order)) if c in carried else None
+        parts, wide = column("part"), column("wide")
+        wide = None if wide is None else np.frombuffer(b"".join(wide.to_pylist()), np.uint64).reshape(len(rep), -1)
+        found = [np.empty((0, 2), np.int64)]
+        take = lambda i, j: found.append(np.column_stack((rep[i], rep[j])))
+        trie_forest(keys, ranges, budget, parts=None if parts is None else parts.to_numpy(), wide=wide, wide_budget=wide_budget, **{"emit" if every else "spans": take})
+        pairs = np.unique(np.sort(np.concatenate(found), axis=1), axis=0)
+        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 1]), pa.array(pairs[:, 0])], names=["a", "b"])
 
     def run(batches):
         held, count = [], 0
@@ -285,12 +326,17 @@ def _taken_apart(items: DataFrame, budget: int, n_words: int) -> DataFrame:
     )
 
 
-def near_links(classes: DataFrame, budget: int, bands: list[list[int]], n_words: int, cell_limit: int = 100_000, batch_rows: int = 100_000) -> DataFrame:
-    """Links (a, b) between representatives that span every component of fingerprints within ``budget`` bits.
+def near_links(
+    classes: DataFrame, budget: int | tuple[int, ...], bands: list[list[int]], n_words: int, cell_limit: int = 100_000, batch_rows: int = 100_000,
+    every: bool = False, wide_budget: int = 0,
+) -> DataFrame:
+    """Near pairs (a, b) of representatives, the larger first, that span every component of fingerprints within ``budget`` bits.
 
-    ``classes`` holds distinct fingerprints: (fp binary, rep long). With a column part (long), fingerprints may repeat and the
-    result holds all pairs within the budget that share a band and lie in different parts, the larger rep first; pairs may repeat.
+    ``classes`` holds different fingerprints: (fp binary, rep long). With a column part (long), fingerprints may repeat, and rows of one
+    part count as linked. With ``every``, all near pairs across parts come, or of those the ones whose column ``wide`` differs in at most
+    ``wide_budget`` bits. Pairs may repeat. Of several rising budgets the last one counts, and the others make close pairs come first.
     """
+    most = budget if isinstance(budget, int) else max(budget)
     zero = F.lit(0).cast("long")
     items = _cells(classes, bands).select("band", "cell", zero.alias("x"), zero.alias("y"), F.lit(0).alias("depth"), F.lit(0).alias("err"), F.lit(0).alias("side"), *_carried(classes))
     parts = []
@@ -299,10 +345,10 @@ def near_links(classes: DataFrame, budget: int, bands: list[list[int]], n_words:
         hot = materialize(hot, "hot")
         depth_left = not hot.isEmpty() and hot.first()["depth"] < 64 * n_words
         calm = items.join(hot, ITEM, "left_anti") if depth_left else items
-        parts.append(_joined(calm.repartition(*ITEM).sortWithinPartitions(*ITEM, "side"), n_words, budget, batch_rows))
+        parts.append(_joined(calm.repartition(*ITEM).sortWithinPartitions(*ITEM, "side"), n_words, budget, batch_rows, every, wide_budget))
         if not depth_left:
             break
-        items = materialize(_taken_apart(items.join(hot, ITEM, "left_semi"), budget, n_words), "apart")
+        items = materialize(_taken_apart(items.join(hot, ITEM, "left_semi"), most, n_words), "apart")
         both = F.max("side") - F.min("side")
         lone = F.col("x") != F.col("y")
         sizes = items.groupBy(ITEM).agg(F.count("*").alias("count"), both.alias("sides"))
@@ -322,23 +368,38 @@ def near_duplicates(
 
     Documents whose fingerprints differ in at most ``budget`` bits are linked; component_id is the smallest id reachable.
     Equal fingerprints form one class first, so copies are never expanded into pairs. Null and empty texts have the
-    fingerprint zero and are linked like any other. Rows that repeat an id each get a row. A row with a null id gets
-    the component of its fingerprint; where every row of a class has a null id, component_id is null. An empty table gives an empty
-    result; other columns are not read.
+    fingerprint zero and are linked like any other. Rows that repeat an id each get a row. A row with a null id links others and gets
+    the component of its fingerprint; where every row of a component has a null id, component_id is null. An empty table gives an
+    empty result; other columns are not read.
     """
-    bands = bands or contiguous_bands(n_words, budget + 1)
     prints = materialize(fingerprints(docs, id_col, text_col, shingle_words, n_words), "simhash")
-    classes = materialize(prints.groupBy("fp").agg(F.min("id").alias("rep")), "classes")
-    links = near_links(classes.where("rep is not null"), budget, bands, n_words, cell_limit)
-    roots = component_roots(links, "a", "b")
-    named = classes.join(roots, classes["rep"] == roots["u"], "left").select("fp", F.coalesce("root", "rep").alias("component_id"))
+    grouped = prints.groupBy("fp").agg(F.min("id").alias("id"))
+    classes = materialize(grouped.withColumn("rep", F.monotonically_increasing_id()), "classes")
+    bands = bands or lossless_bands(n_words, budget, classes.count(), cell_limit)
+    roots = component_roots(near_links(classes.select("fp", "rep"), budget, bands, n_words, cell_limit), "a", "b")
+    linked = materialize(classes.join(roots, classes["rep"] == roots["u"], "left").select("fp", "id", F.coalesce("root", "rep").alias("part")), "linked")
+    smallest = linked.groupBy("part").agg(F.min("id").alias("component_id"))
+    named = linked.join(smallest, "part").select("fp", "component_id")
     return prints.join(named, "fp", "left").select(F.col("id").alias("doc_id"), F.lower(F.hex("fp")).alias("fingerprint"), "component_id")
 
 
-#: For 5-word shingles at a similarity of 0.8: 256 bits, of which 39 (deviation 6) differ on average at 0.8, 49 at 0.7 and 59 at 0.6.
-#: The budget lies four deviations above 0.8, and 126 bands are sampled; every proposal is checked, so a wide budget costs checks only.
-SIMILAR = {"shingle_words": 5, "n_words": 4, "budget": 64}
-SIMILAR_BANDS = permuted_bands(4, 14, 7)
+#: For 5-word shingles at a similarity of 0.8: of 256 bits 39 (deviation 5.7) differ on average, at 0.7 49 and at 0.6 59. The budget lies
+#: over three deviations above 0.8; smaller ones go first, so that likely links are proposed before unlikely ones.
+SIMILAR = {"shingle_words": 5, "n_words": 4, "budget": (24, 36, 46, 58)}
+#: A longer fingerprint, for groups that the first proposals leave torn: of 2048 bits 310 (16) differ at 0.8, 393 at 0.7.
+WIDE_WORDS, WIDE_BUDGET = 32, 366
+#: Share of bits that differ at 0.8, and how many bands are expected to agree there.
+DIFFER, AGREEING = 0.151, 9
+
+
+def similar_bands(rows: int, n_words: int = 4) -> list[list[int]]:
+    """Bands with the same recall for any number of rows: cells of 256 rows or so, and as many as make AGREEING bands agree at a similarity of 0.8."""
+    bits = max(8, math.ceil(math.log2(max(rows, 1) / 256)))
+    count = math.ceil(AGREEING / (1 - DIFFER) ** bits)
+    each = 64 * n_words // bits
+    return permuted_bands(n_words, bits, -(-count // each))[:count]
+
+
 #: Up to this size similar sets differ by one shingle if at all, and are found without fingerprints, which are poor for so few votes.
 SMALL_SET = 8
 
@@ -361,28 +422,41 @@ def set_fingerprint(hashes: np.ndarray, n_words: int = 4) -> bytes:
     return np.packbits((2 * ones > len(hashes)).reshape(n_words, 64)[:, ::-1], axis=1).tobytes()
 
 
-def _set_rows(docs: DataFrame, shingle_words: int, n_words: int | None) -> DataFrame:
-    """(id, digest, n, fp, less) of (id, t) rows, or (digest, hashes) where ``n_words`` is None.
+def _digest(hashes: np.ndarray) -> bytes:
+    return xxhash.xxh3_128_digest(hashes.tobytes())
 
-    ``less`` holds the digests of a small set without one of its shingles each.
-    """
-    digest = lambda x: xxhash.xxh3_128_digest(x.tobytes())
+
+def _set_rows(docs: DataFrame, shingle_words: int, n_words: int) -> DataFrame:
+    """(id, digest, n, fp, less) of (id, t) rows. ``less`` holds the digests of a small set without one of its shingles each."""
 
     def run(batches):
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                sets = [shingle_set(x.as_py(), shingle_words) for x in pc.cast(part.column(1), pa.binary())]
-                digests = pa.array([digest(x) for x in sets], pa.binary())
-                if n_words is None:
-                    hashes = pa.array([x.view(np.int64) for x in sets], pa.list_(pa.int64()))
-                    yield pa.RecordBatch.from_arrays([digests, hashes], names=["digest", "hashes"])
-                else:
-                    sizes, prints = pa.array([len(x) for x in sets], pa.int64()), pa.array([set_fingerprint(x, n_words) for x in sets], pa.binary())
-                    less = pa.array([[digest(np.delete(x, k)) for k in range(len(x))] if 5 <= len(x) <= SMALL_SET else [] for x in sets], pa.list_(pa.binary()))
-                    yield pa.RecordBatch.from_arrays([part.column(0), digests, sizes, prints, less], names=["id", "digest", "n", "fp", "less"])
+        for part in _small(batches):
+            sets = [shingle_set(x.as_py(), shingle_words) for x in pc.cast(part.column(1), pa.binary())]
+            sizes, prints = pa.array([len(x) for x in sets], pa.int64()), pa.array([set_fingerprint(x, n_words) for x in sets], pa.binary())
+            less = pa.array([[_digest(np.delete(x, k)) for k in range(len(x))] if 5 <= len(x) <= SMALL_SET else [] for x in sets], pa.list_(pa.binary()))
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(map(_digest, sets), pa.binary()), sizes, prints, less], names=["id", "digest", "n", "fp", "less"])
+
+    return docs.mapInArrow(run, "id long, digest binary, n long, fp binary, less array<binary>")
 
-    return docs.mapInArrow(run, "digest binary, hashes array<long>" if n_words is None else "id long, digest binary, n long, fp binary, less array<binary>")
+
+def _sets(docs: DataFrame, shingle_words: int, wide_words: int = 0) -> DataFrame:
+    """(digest, hashes array<long>) of (id, t) rows, or (digest, wide binary) with a fingerprint of so many words."""
+
+    def run(batches):
+        for part in _small(batches):
+            sets = [shingle_set(x.as_py(), shingle_words) for x in pc.cast(part.column(1), pa.binary())]
+            found = pa.array([set_fingerprint(x, wide_words) for x in sets], pa.binary()) if wide_words else pa.array([x.view(np.int64) for x in sets], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([pa.array(map(_digest, sets), pa.binary()), found], names=["digest", name])
+
+    name, kind = ("wide", "binary") if wide_words else ("hashes", "array<long>")
+    return docs.mapInArrow(run, f"digest binary, {name} {kind}")
+
+
+def _small(batches):
+    """Slices of few rows: their sets are held together."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, 256):
+            yield batch.slice(at, 256)
 
 
 def _near(common, n_a, n_b):
@@ -396,7 +470,7 @@ def _verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame, shingle_wo
     sized = pairs.join(named.select(F.col("rep").alias("a"), F.col("n").alias("n_a")), "a").join(named.select(F.col("rep").alias("b"), F.col("n").alias("n_b")), "b")
     pairs = materialize(sized.where(_near(F.least("n_a", "n_b"), F.col("n_a"), F.col("n_b"))), "candidates")
     needed = materialize(named.join(pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct(), "rep"), "needed")
-    found = _set_rows(texts.join(needed.select("id").distinct(), "id", "left_semi"), shingle_words, None)
+    found = _sets(texts.join(needed.select("id").distinct(), "id", "left_semi"), shingle_words)
     # An id may stand at several texts: the digest tells which of them is meant.
     sets = materialize(needed.select("rep", "digest").join(found, "digest").dropDuplicates(["rep"]).select("rep", "hashes"), "sets")
     both = pairs.join(sets.select(F.col("rep").alias("a"), F.col("hashes").alias("x")), "a").join(sets.select(F.col("rep").alias("b"), F.col("hashes").alias("y")), "b")
@@ -404,48 +478,55 @@ def _verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame, shingle_wo
 
 
 def similar_groups(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 5, n_words: int = 4, budget: int = SIMILAR["budget"],
-    bands: list[list[int]] | None = None, cell_limit: int = 100_000, first: int = 4,
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 5, n_words: int = 4, budget: int | tuple[int, ...] = SIMILAR["budget"],
+    bands: list[list[int]] | None = None, cell_limit: int = 100_000, first_bands: int = 8,
 ) -> DataFrame:
     """(id, component_id) of every row: components of links between shingle sets with a Jaccard similarity of 0.8 or more.
 
-    The trie join only proposes links and each is held against the sets. Equal sets are one class. First the proposals that span the
-    components are checked; where one fails, all pairs between what is not yet linked there are proposed, and checked
-    in rounds of ``first``, 16 x ``first``, ... pairs of a class, so that parts that become linked need no more.
+    The trie join only proposes links and each is held against the sets. Equal sets are one class. Proposals span the components
+    of near fingerprints, a row for each class and band at most: first in a few bands, then, with what was confirmed linked from the start,
+    in all others. Where a refused proposal leaves a group of near fingerprints torn, its classes get a longer fingerprint, and all
+    pairs across its parts that are close by both are checked; pairs within a part never are.
     """
-    bands = bands or SIMILAR_BANDS
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("t"))
     prints = materialize(_set_rows(texts, shingle_words, n_words), "shingles")
     grouped = prints.groupBy("digest").agg(F.min("id").alias("id"), F.first("fp").alias("fp"), F.first("n").alias("n"), F.first("less").alias("less"))
     classes = materialize(grouped.withColumn("rep", F.monotonically_increasing_id()), "classes")
     nodes = classes.where("id is not null")
-    # The trie takes different fingerprints; classes with the same one are proposed to each other through the smallest.
-    one = materialize(nodes.groupBy("fp").agg(F.min("rep").alias("rep")), "prints")
-    same = nodes.select("fp", F.col("rep").alias("a")).join(one.withColumnRenamed("rep", "b"), "fp").where("a <> b").select("a", "b")
+    bands = bands or similar_bands(classes.count(), n_words)
+    # Classes with the same fingerprint are proposed to each other through the smallest.
+    one = nodes.groupBy("fp").agg(F.min("rep").alias("b"))
+    same = nodes.select("fp", F.col("rep").alias("a")).join(one, "fp").where("a <> b").select("a", "b")
     larger = nodes.where(F.size("less") > 0).select(F.col("rep").alias("a"), F.explode("less").alias("digest"))
     small = larger.join(nodes.where(F.col("n") < SMALL_SET).select("digest", F.col("rep").alias("b")), "digest").select("a", "b")
-    proposed = near_links(one, budget, bands, n_words, cell_limit).union(same).union(small).where("a <> b")
-    spanning = materialize(proposed.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "spanning")
-    links = materialize(_verified(spanning, classes, texts, shingle_words), "verified")
+    ordered = lambda pairs: pairs.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    in_parts = lambda rows, roots: rows.join(roots, rows["rep"] == roots["u"], "left").withColumn("part", F.coalesce("root", "rep"))
+
+    tried = materialize(ordered(near_links(nodes.select("fp", "rep"), budget, bands[:first_bands], n_words, cell_limit).union(same).union(small)), "tried")
+    links = materialize(_verified(tried, classes, texts, shingle_words), "verified")
     roots = component_roots(links, "a", "b")
-    failed = spanning.join(links, ["a", "b"], "left_anti")
-    if not failed.isEmpty():
-        wide = component_roots(spanning, "a", "b").withColumnRenamed("root", "whole")
-        every = wide.select("u", "whole").union(wide.select(F.col("whole").alias("u"), "whole")).distinct()
-        parts = every.join(roots, "u", "left").select(F.col("u").alias("rep"), "whole", F.coalesce("root", "u").alias("part"))
-        torn = parts.groupBy("whole").agg(F.countDistinct("part").alias("k")).where("k > 1").select("whole")
-        open_ = materialize(parts.join(torn, "whole").join(nodes, "rep").select("rep", "fp", "part"), "open")
-        left = materialize(near_links(open_, budget, bands, n_words, cell_limit).distinct().join(spanning, ["a", "b"], "left_anti"), "left")
-        while not left.isEmpty():
-            turn = F.row_number().over(Window.partitionBy("a").orderBy("b"))
-            ranked = materialize(left.withColumn("turn", turn), "ranked")
-            links = materialize(links.union(_verified(ranked.where(F.col("turn") <= first).select("a", "b"), classes, texts, shingle_words)), "verified")
-            roots = component_roots(links, "a", "b")
-            side = lambda c: roots.select(F.col("u").alias(c), F.col("root").alias(f"root_{c}"))
-            rest = ranked.where(F.col("turn") > first).join(side("a"), "a", "left").join(side("b"), "b", "left")
-            left = materialize(rest.where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b"), "left")
-            first *= 16
-    named = classes.join(roots, classes["rep"] == roots["u"], "left").select("digest", "id", F.coalesce("root", "rep").alias("part"))
+    if bands[first_bands:]:
+        rows = in_parts(nodes.select("fp", "rep"), roots).select("fp", "rep", "part")
+        more = materialize(ordered(near_links(rows, budget, bands[first_bands:], n_words, cell_limit)).join(tried, ["a", "b"], "left_anti"), "more")
+        if not more.isEmpty():
+            good = materialize(_verified(more, classes, texts, shingle_words), "verified")
+            tried, links = tried.union(more), links.union(good)
+            roots = roots if good.isEmpty() else component_roots(links, "a", "b")
+    # A refused pair whose ends are not linked otherwise may hide links: the whole group of near fingerprints around it is looked at again.
+    side = lambda c: roots.select(F.col("u").alias(c), F.col("root").alias(f"root_{c}"))
+    apart = lambda pairs: pairs.join(side("a"), "a", "left").join(side("b"), "b", "left").where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select(F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b"))
+    torn = materialize(apart(tried.join(links, ["a", "b"], "left_anti")).distinct(), "torn")
+    if not torn.isEmpty():
+        parts = torn.select(F.explode(F.array("a", "b")).alias("part")).distinct()
+        open_ = materialize(in_parts(nodes.select("fp", "rep", "digest", "id"), roots).join(parts, "part", "left_semi").select("fp", "rep", "part", "digest", "id"), "open")
+        sketches = _sets(texts.join(open_.select("id").distinct(), "id", "left_semi"), shingle_words, WIDE_WORDS)
+        rows = materialize(open_.join(sketches, "digest").dropDuplicates(["rep"]).select("fp", "rep", "part", "wide"), "wide")
+        most = budget if isinstance(budget, int) else max(budget)
+        left = near_links(rows, most, similar_bands(rows.count(), n_words), n_words, cell_limit, every=True, wide_budget=WIDE_BUDGET)
+        left = materialize(ordered(left).join(tried, ["a", "b"], "left_anti"), "left")
+        links = links.union(materialize(_verified(left, classes, texts, shingle_words), "verified"))
+        roots = component_roots(links, "a", "b")
+    named = materialize(classes.join(roots, classes["rep"] == roots["u"], "left").select("digest", "id", F.coalesce("root", "rep").alias("part")), "named")
     smallest = named.groupBy("part").agg(F.min("id").alias("component_id"))
     return prints.select("id", "digest").join(named.join(smallest, "part").select("digest", "component_id"), "digest").select("id", "component_id")
 
@@ -455,6 +536,6 @@ def keep_one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: st
 
     Rows with a null id stay. Repeated rows of the id that stays all stay (they are exact dedup's work). Columns are as before.
     """
-    found = similar_groups(docs, id_col, text_col, **({"bands": SIMILAR_BANDS} | SIMILAR | settings))
+    found = similar_groups(docs, id_col, text_col, **(SIMILAR | settings))
     dropped = found.where("component_id <> id").select(F.col("id").alias(id_col)).distinct()
     return docs.join(dropped, id_col, "left_anti").select(docs.columns)

@@ -71,7 +71,7 @@ def test_a_failed_proposal_hides_no_link(spark):
                 w[k * 5] = "other"
     rng.shuffle(texts)
     want = groups(texts)
-    assert len(set(want)) == 12 and found(spark, texts) == want == found(spark, texts, first=1, cell_limit=8)
+    assert len(set(want)) == 12 and found(spark, texts) == want == found(spark, texts, first_bands=1, cell_limit=8)
 
 
 def changed(rng, at_least, below):
