@@ -22,26 +22,36 @@ from lexiforge.llm.tokens import file_tokenizer
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 #: Tokens that a cut costs, as if they were padding: inside a sentence, and between two sentences of a document.
 SENTENCE_CUT, DOCUMENT_CUT = 8, 1
+#: Tokens that a sequence costs, as if they were padding: else streams would fall into short sequences of a power of two, which have none.
+SEQUENCE = 48
 GRID = 64
 #: Tokens that are planned at once; what the last window of a plan would hold goes to the next plan.
 PLAN = 1 << 18
 
 
-def plan_cuts(places: list[int], penalty: list[int], window: int) -> list[int]:
+def plan_cuts(places: list[int], penalty: list[int], window: int, each: int = 0) -> list[int]:
     """Ends of windows over a stream from 0 to places[-1].
 
-    ``places`` rise and no two neighbours (or 0 and the first) are more than ``window`` apart. Minimises the sum of
-    window - length and of the penalty of each end; of equal plans the one with the longer last windows.
+    ``places`` rise and no two neighbours (or 0 and the first) are more than ``window`` apart. Minimises the sum of the padding
+    and of the penalty of each end, and of ``each`` for every window; of equal plans the one with the longer last windows. Padding is window - length, and none at
+    a power of two: besides the best earlier end within reach, which the queue has, those at a power of two are tried.
     """
     best, back = [0] * (len(places) + 1), [0] * (len(places) + 1)
     at = [0, *places]
+    index = {x: k for k, x in enumerate(at)}.get
+    exact = [1 << k for k in range(window.bit_length()) if 1 << k < window]
     queue = deque([(0, 0)])  # (best + place, index), rising in both
     for k in range(1, len(at)):
         place = at[k]
         while at[queue[0][1]] < place - window:
             queue.popleft()
         low, back[k] = queue[0]
-        best[k] = low + window - place + penalty[k - 1]
+        low += window - place
+        for size in exact:
+            j = index(place - size)
+            if j is not None and best[j] < low:
+                low, back[k] = best[j], j
+        best[k] = low + each + penalty[k - 1]
         key = best[k] + place
         while queue and queue[-1][0] > key:
             queue.pop()
@@ -81,7 +91,7 @@ class _Shard:
         allowed[doc_ends], price[doc_ends] = True, 0
         allowed[0] = False
         places = np.flatnonzero(allowed)
-        cuts = plan_cuts(places.tolist(), price[places].tolist(), self.window)
+        cuts = plan_cuts(places.tolist(), price[places].tolist(), self.window, SEQUENCE)
         if not last and len(cuts) > 1:  # the end of the plan is no real end: plan its last windows again
             cuts = cuts[: max(1, len(cuts) - 4)]
         k, begin = 0, 0

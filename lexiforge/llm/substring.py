@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexiforge.llm.tokens import Cache
+from lexiforge.llm.tokens import Generations
 from lexiforge.storage import materialize
 
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -72,7 +72,7 @@ class _Words:
     """Word hashes of texts; remembers words, boundedly."""
 
     def __init__(self):
-        self.of = Cache(lambda w: xxhash.xxh64_intdigest(w))
+        self.of = Generations(xxhash.xxh64_intdigest)
 
     def __call__(self, words: list[bytes]) -> np.ndarray:
         return np.fromiter(map(self.of.__getitem__, words), np.uint64, len(words))

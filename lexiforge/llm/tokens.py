@@ -10,10 +10,12 @@ import re
 
 import numpy as np
 import regex
+from public_tokenizers import PATTERN
 
 _SPACE_AFTER_SPACE = re.compile(r"\s ")
 _CUT = re.compile(r"(?<=\S)(?= )")
-CACHE_LIMIT = 400_000
+#: Bytes that a cache holds in each of its two generations, about.
+CACHE_BYTES = 48 << 20
 
 
 def pieces(text: str) -> list[str]:
@@ -28,37 +30,27 @@ def pieces(text: str) -> list[str]:
     return [first, *out] if first else out
 
 
-class Cache(dict):
-    """Values by key, made on demand; emptied at ``limit`` entries, so that its memory is bounded."""
+class Generations(dict):
+    """Values by key, made on demand, in bounded memory.
 
-    def __init__(self, make, limit: int = CACHE_LIMIT):
-        super().__init__()
-        self.make, self.limit = make, limit
-
-    def __missing__(self, key):
-        if len(self) >= self.limit:
-            self.clear()
-        value = self[key] = self.make(key)
-        return value
-
-
-class Generations(Cache):
-    """A cache that ages: at ``limit`` entries the young ones become the old ones, and old ones that are used again become young.
-
-    What is used often stays, and at most twice ``limit`` entries are held.
+    At ``limit`` bytes the young entries become the old ones, and old ones that are used again become young. What is used often stays, and
+    about twice ``limit`` bytes are held.
     """
 
-    def __init__(self, make, limit: int = CACHE_LIMIT):
-        super().__init__(make, limit)
+    def __init__(self, make, limit: int = CACHE_BYTES):
+        super().__init__()
+        self.make, self.limit, self.held = make, limit, 0
         self.old: dict = {}
 
     def __missing__(self, key):
         value = self.old.get(key)
         if value is None:
             value = self.make(key)
-        if len(self) >= self.limit:
-            self.old = dict(self)
+        size = 200 + len(key) + (len(value) if isinstance(value, bytes) else 0)  # with what Python adds to each object
+        if self.held + size > self.limit:
+            self.old, self.held = dict(self), 0
             self.clear()
+        self.held += size
         self[key] = value
         return value
 
@@ -79,7 +71,7 @@ class BytePairEncoder:
     """Encodes by ranks, each match of ``pattern`` on its own, without special tokens; decodes by joining bytes.
 
     Within a pre-token the adjacent pair of the lowest rank merges first, the leftmost of equals. Candidates wait in a
-    hierarchical-bitmap queue: a bucket of linked-list positions for each rank, a word of 1024 bits that says which of 1024
+    hierarchical-bitmap queue: a bucket of linked-list positions for each rank, a word of 256 bits that says which of 256
     neighbouring ranks have a bucket, and a word above that says which words are not zero. Find-first-set in two words gives
     the next rank. An entry whose left part was swallowed or whose pair has another rank by now is stale and skipped, so a
     pre-token of n bytes costs about n queue operations however long it is.
@@ -98,84 +90,92 @@ class BytePairEncoder:
         }
         self.decimal = [str(k) for k in range(len(self.bytes_of))]
         self.find = regex.compile(pattern).findall
-        self.low = [0] * ((len(self.bytes_of) >> 10) + 1)
-        self.bit = [1 << k for k in range(1024)]
-        self.of_match = Generations(self._match)
+        #: Only of the public pattern is it known where a text may be cut.
+        self.cut = pieces if pattern == PATTERN else lambda text: [text] if text else []
+        self.low = [0] * ((len(self.bytes_of) >> 8) + 1)
+        self.bit = [1 << k for k in range(max(256, len(self.low)))]
+        self.first = [self.pairs.get(self.byte[a] << 20 | self.byte[b], -1) for a in range(256) for b in range(256)]
+        self.of_match = Generations(self._match, CACHE_BYTES // 2)
         self.of_piece = Generations(self._piece)
 
     def merge(self, data: bytes) -> list[int]:
         whole = self.ranks.get(data)
         if whole is not None:
             return [whole]
-        n, rank_of, low, bit, push = len(data), self.pairs.get, self.low, self.bit, heapq.heappush
+        n, rank_of, low, bit, first = len(data), self.pairs, self.low, self.bit, self.first
         part = [self.byte[x] for x in data]
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        pair = [rank_of((a << 20) | b, -1) for a, b in zip(part, part[1:])]
+        pair = [first[a << 8 | b] for a, b in zip(data, data[1:])]
         pair.append(-1)
-        buckets: dict[int, list[int]] = {}
+        buckets: dict[int, int | list[int]] = {}  # one position, or a heap of them
         top = 0
         for i, rank in enumerate(pair):
             if rank >= 0:
-                if rank in buckets:
-                    buckets[rank].append(i)  # rising, so a heap
+                if rank not in buckets:
+                    buckets[rank] = i
+                    low[rank >> 8] |= bit[rank & 255]
+                    top |= bit[rank >> 8]
+                elif type(held := buckets[rank]) is int:
+                    buckets[rank] = [held, i]
                 else:
-                    buckets[rank] = [i]
-                    low[rank >> 10] |= bit[rank & 1023]
-                    top |= 1 << (rank >> 10)
+                    held.append(i)  # rising, so a heap
         while top:
-            word = (top & -top).bit_length() - 1
+            lowest = top & -top
+            word = lowest.bit_length() - 1
             bits = low[word]
-            rank = (word << 10) | ((bits & -bits).bit_length() - 1)
-            bucket = buckets[rank]
-            if len(bucket) > 1:
-                i = heapq.heappop(bucket)
-            else:
-                i = bucket[0]
+            rank = (word << 8) + (bits & -bits).bit_length() - 1
+            i = buckets[rank]
+            if type(i) is int:
                 del buckets[rank]
                 bits &= bits - 1
                 low[word] = bits
                 if not bits:
-                    top &= top - 1
+                    top ^= lowest
+            else:
+                held, i = i, heapq.heappop(i)
+                if len(held) == 1:
+                    buckets[rank] = held[0]
             if pair[i] != rank:
                 continue
             j = after[i]
             part[i] = rank
             part[j] = pair[j] = -1
             k = after[i] = after[j]
-            if k < n:
+            made = [i] if k < n else []
+            if made:
                 before[k] = i
-                new = pair[i] = rank_of((rank << 20) | part[k], -1)
-                if new >= 0:
-                    if new in buckets:
-                        push(buckets[new], i)
-                    else:
-                        buckets[new] = [i]
-                        low[new >> 10] |= bit[new & 1023]
-                        top |= 1 << (new >> 10)
+                pair[i] = rank_of.get(rank << 20 | part[k], -1)
             else:
                 pair[i] = -1
             h = before[i]
             if h >= 0:
-                new = rank_of((part[h] << 20) | rank, -1)
+                new = rank_of.get(part[h] << 20 | rank, -1)
                 if new != pair[h]:
                     pair[h] = new
-                    if new >= 0:
-                        if new in buckets:
-                            push(buckets[new], h)
-                        else:
-                            buckets[new] = [h]
-                            low[new >> 10] |= bit[new & 1023]
-                            top |= 1 << (new >> 10)
+                    made.append(h)
+            for i in made:
+                new = pair[i]
+                if new < 0:
+                    continue
+                if new not in buckets:
+                    buckets[new] = i
+                    low[new >> 8] |= bit[new & 255]
+                    top |= bit[new >> 8]
+                elif type(held := buckets[new]) is int:
+                    buckets[new] = [held, i] if held < i else [i, held]
+                else:
+                    heapq.heappush(held, i)
         return [x for x in part if x >= 0]
 
     def _match(self, match: str) -> bytes:
         return np.array(self.merge(match.encode("utf-8")), "<u4").tobytes()
 
     def _piece(self, piece: str) -> bytes:
-        return b"".join(map(self.of_match.__getitem__, self.find(piece)))
+        found = self.find(piece)
+        return self._match(piece) if len(found) == 1 else b"".join(map(self.of_match.__getitem__, found))
 
     def encode(self, text: str) -> np.ndarray:
-        return np.frombuffer(b"".join(map(self.of_piece.__getitem__, pieces(text))), "<u4")
+        return np.frombuffer(b"".join(map(self.of_piece.__getitem__, self.cut(text))), "<u4")
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
@@ -188,29 +188,28 @@ def encoder(path: str, pattern: str) -> BytePairEncoder:
 
 
 class FileTokenizer:
-    """Ids of a ``tokenizers`` file, without special tokens; their strings in a text are ordinary text.
+    """Ids of a ``tokenizers`` file with add_special_tokens=False; the strings of its added tokens in a text give those tokens' ids.
 
-    Where the file is plain byte-level BPE whose ids are its merge order, the same merges run in ``tiktoken``, which is several
-    times as fast and gives the same ids; any other file goes to ``tokenizers``.
+    Where the file is plain byte-level BPE whose ids are its merge order, the same merges run in ``tiktoken`` between the added tokens,
+    which is several times as fast and gives the same ids; any other file goes to ``tokenizers``.
     """
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        self.limit = len(spec["model"]["vocab"])
+        added = spec.get("added_tokens", ())
+        self.limit = max([len(spec["model"]["vocab"]), *(x["id"] + 1 for x in added)])
         self.bytes_of = self._byte_level(spec)
         if self.bytes_of:
             import tiktoken
-            from public_tokenizers import PATTERN
 
-            ranks = {b: k for k, b in self.bytes_of.items()}
-            run = tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-            self.of_piece = Generations(lambda piece: np.array(run(piece), "<u4").tobytes())
+            self.run = tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks={b: k for k, b in self.bytes_of.items()}, special_tokens={}).encode_ordinary
+            self.added = {x["content"]: x["id"] for x in added}
+            self.around = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")").split if self.added else lambda text: [text]
         else:
             from tokenizers import Tokenizer
 
             self.whole = Tokenizer.from_file(path)
-            self.whole.encode_special_tokens = True
 
     @staticmethod
     def _byte_level(spec: dict) -> dict[int, bytes] | None:
@@ -218,6 +217,8 @@ class FileTokenizer:
         plain = model.get("type") == "BPE" and not any(model.get(k) for k in ("continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges", "dropout"))
         if not plain or spec.get("normalizer") or pre.get("type") != "ByteLevel" or pre.get("add_prefix_space") or not pre.get("use_regex", True):
             return None
+        if any(x.get(k) for x in spec.get("added_tokens", ()) for k in ("single_word", "lstrip", "rstrip")):
+            return None
         letters, special = byte_letters(), {x["content"] for x in spec.get("added_tokens", ())}
         merges = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
         made = [model["vocab"].get("".join(m)) for m in merges]
@@ -229,9 +230,12 @@ class FileTokenizer:
         return self.bytes_of and [self.bytes_of.get(k, b"") for k in range(self.limit)]
 
     def encode(self, text: str) -> np.ndarray:
-        if self.bytes_of:
-            return np.frombuffer(b"".join(map(self.of_piece.__getitem__, pieces(text))), "<u4")
-        return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4")
+        if not self.bytes_of:
+            return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4")
+        ids: list[int] = []
+        for k, part in enumerate(self.around(text)):
+            ids += [self.added[part]] if k & 1 else self.run(part)
+        return np.array(ids, "<u4")
 
 
 @functools.cache

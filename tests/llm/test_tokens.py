@@ -17,7 +17,6 @@ RANKS = tokens.rank_file(P.path("byte_bpe_50k.tiktoken"))
 TWIN = tiktoken.Encoding("twin", pat_str=P.PATTERN, mergeable_ranks=RANKS, special_tokens={})
 OWN = tokens.BytePairEncoder(RANKS, P.PATTERN)
 FILE = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
-FILE.encode_special_tokens = True
 PARTS = st.lists(st.sampled_from(["a", "b", " ", "  ", "\n", "\t", "'s", "'", "1", "é", "日本", "🙂", "\x1c", " ", "　", "!", "the", " x", "\r\n", "\x85", "<|endoftext|>", "aaaa"]), max_size=16).map("".join)
 
 
@@ -46,9 +45,26 @@ def test_other_vocabularies():
 
 
 def test_caches_stay_bounded():
-    cache = tokens.Generations(lambda k: k * 2, limit=10)
-    assert [cache[k % 37] for k in range(500)] == [k % 37 * 2 for k in range(500)]
+    cache = tokens.Generations(lambda k: b"ab", limit=2040)  # ten entries
+    assert {cache[f"{k % 37:02}"] for k in range(500)} == {b"ab"}
     assert len(cache) <= 10 and len(cache.old) <= 10
+    cache = tokens.Generations(lambda k: k.encode() * 1000, limit=10_000)
+    assert [len(cache[str(k)]) for k in range(50)] == [1000 * len(str(k)) for k in range(50)] and len(cache) < 10
+
+
+def test_other_patterns_are_not_cut():
+    pattern = r"[^,]+|,"
+    own, twin = tokens.BytePairEncoder(RANKS, pattern), tiktoken.Encoding("p", pat_str=pattern, mergeable_ranks=RANKS, special_tokens={})
+    for t in ("one two, three  four,,five", "", " a b"):
+        assert own.encode(t).tolist() == twin.encode_ordinary(t)
+        assert own.decode(own.encode(t).tolist()) == t.encode()
+
+
+def test_added_tokens_in_texts():
+    own = tokens.file_tokenizer(P.path("byte_bpe_50k.json"))
+    for t in ("a<|endoftext|>b", "<|endoftext|>", "x  <|endoftext|> y<|endoftext|><|endoftext|>", "<|endoftext", "a <|endoftext|>\n\n b"):
+        assert own.encode(t).tolist() == FILE.encode(t, add_special_tokens=False).ids
+    assert 50256 in own.encode("a<|endoftext|>b")
 
 
 def test_round_trip_query(spark, sf):
@@ -65,26 +81,30 @@ def test_encoded_column(spark):
     assert row.ids == TWIN.encode_ordinary("Hello, wörld") and bytes(row.decoded) == "Hello, wörld".encode()
 
 
-def slow_cost(places, penalty, window):
+def slow_cost(places, penalty, window, each):
     best, at = [0.0], [0, *places]
     for k in range(1, len(at)):
-        best.append(min(best[i] + window - (at[k] - at[i]) + penalty[k - 1] for i in range(k) if at[k] - at[i] <= window))
+        best.append(min(best[i] + padding(at[k] - at[i], window) + each + penalty[k - 1] for i in range(k) if at[k] - at[i] <= window))
     return best[-1]
 
 
+def padding(length, window):
+    return 0 if length & (length - 1) == 0 else window - length
+
+
 def test_plan_is_optimal():
     rng = random.Random(2)
-    for _ in range(300):
-        places, at = [], 0
+    for turn in range(300):
+        places, at, each = [], 0, turn % 4
         for _ in range(rng.randrange(1, 25)):
             at += rng.randrange(1, 11)
             places.append(at)
         penalty = [rng.randrange(9) for _ in places]
-        cuts = packing.plan_cuts(places, penalty, 20)
+        cuts = packing.plan_cuts(places, penalty, 20, each)
         assert cuts[-1] == places[-1] and all(b - a <= 20 for a, b in zip([0, *cuts], cuts))
         price = dict(zip(places, penalty))
-        cost = sum(20 - (b - a) + price[b] for a, b in zip([0, *cuts], cuts))
-        assert cost == slow_cost(places, penalty, 20)
+        cost = sum(padding(b - a, 20) + each + price[b] for a, b in zip([0, *cuts], cuts))
+        assert cost == slow_cost(places, penalty, 20, each)
 
 
 def test_pieces_are_whole(spark, sf):
