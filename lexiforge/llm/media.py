@@ -2,13 +2,16 @@
 
 An Aho-Corasick automaton finds the magic bytes of all formats in one pass; a validator for each format then walks its
 structure and gives the true length, or refuses. A value's type is that of a valid medium at its start; valid media further in
-are carved, from left to right and without overlap.
+are carved, from left to right and without overlap. FLAC, headerless MP3 and streamed Matroska do not tell their length: they end where
+their frames or the bytes do.
 """
 
 from __future__ import annotations
 
+import bisect
 import functools
 import hashlib
+import re
 import struct
 import zlib
 from collections.abc import Callable
@@ -103,11 +106,153 @@ def _bmp(b: bytes, at: int) -> int | None:
     return size if not reserved and head in (12, 40, 52, 56, 64, 108, 124) and 14 + head <= pixels <= size and at + size <= len(b) else None
 
 
-def _pdf(b: bytes, at: int) -> int | None:
+class _Places:
+    """Where a mark stands in the bytes, looked up once however many validators ask."""
+
+    def __init__(self, data: bytes):
+        self.data, self.of = data, {}
+
+    def __call__(self, mark: bytes) -> list[int]:
+        if mark not in self.of:
+            self.of[mark] = [m.start() for m in re.finditer(re.escape(mark), self.data)]
+        return self.of[mark]
+
+
+def _pdf(b: bytes, at: int, places: _Places | None = None) -> int | None:
+    """To the first %%EOF that a startxref precedes."""
     if not b[at + 5 : at + 6].isdigit() or b[at + 6 : at + 7] != b".":
         return None
-    end = b.find(b"%%EOF", at)
-    return end + 5 - at if end > 0 and b.rfind(b"startxref", at, end) > 0 else None
+    places = places or _Places(b)
+    starts, ends = places(b"startxref"), places(b"%%EOF")
+    k = bisect.bisect_left(starts, at)
+    j = bisect.bisect_left(ends, starts[k]) if k < len(starts) else len(ends)
+    return ends[j] + 5 - at if j < len(ends) else None
+
+
+def _ogg(b: bytes, at: int) -> int | None:
+    """Pages up to the last one of the first page's stream; of pages that follow each other without a gap, all."""
+    p, serial, ended = at, None, False
+    while b[p : p + 5] == b"OggS\0" and p + 27 <= len(b):
+        flags, stream, segments = b[p + 5], b[p + 14 : p + 18], b[p + 26]
+        if serial is None:
+            if not flags & 2:
+                return None
+            serial = stream
+        end = p + 27 + segments + sum(b[p + 27 : p + 27 + segments])
+        if end > len(b):
+            return None
+        p, ended = end, ended or (flags & 4 and stream == serial)
+        if ended:
+            return p - at
+    return None
+
+
+def _flac(b: bytes, at: int) -> int | None:
+    p, first = at + 4, True
+    while p + 4 <= len(b):
+        kind, n = b[p], int.from_bytes(b[p + 1 : p + 4], "big")
+        if first and (kind & 127, n) != (0, 34):
+            return None
+        p, first = p + 4 + n, False
+        if kind & 128:
+            return len(b) - at if b[p : p + 1] == b"\xff" and b[p + 1 : p + 2] in (b"\xf8", b"\xf9") else None
+    return None
+
+
+#: Fixed values of the format: kilobits a second by index, layer III of MPEG 1 and of MPEG 2; samples a second of MPEG 1.
+_MP3_RATES = ((32, 40, 48, 56, 64, 80, 96, 112, 128, 160, 192, 224, 256, 320), (8, 16, 24, 32, 40, 48, 56, 64, 80, 96, 112, 128, 144, 160))
+_MP3_SAMPLES = (44100, 48000, 32000)
+
+
+def _mp3(b: bytes, at: int) -> int | None:
+    """An ID3 tag or none, then three layer III frames at least."""
+    p, frames = at, 0
+    if b[p : p + 3] == b"ID3":
+        if len(b) < p + 10 or max(b[p + 6 : p + 10]) > 127:
+            return None
+        p += 10 + sum(x << s for x, s in zip(b[p + 6 : p + 10], (21, 14, 7, 0)))
+    while p + 4 <= len(b) and b[p] == 0xFF and b[p + 1] & 0xE6 == 0xE2:
+        version, rate, samples = b[p + 1] >> 3 & 3, b[p + 2] >> 4, b[p + 2] >> 2 & 3
+        if version == 1 or rate in (0, 15) or samples == 3:
+            break
+        one = version == 3
+        hertz = _MP3_SAMPLES[samples] >> (0 if one else 1 if version == 2 else 2)
+        n = (144 if one else 72) * 1000 * _MP3_RATES[not one][rate - 1] // hertz + (b[p + 2] >> 1 & 1)
+        if p + n > len(b):
+            break
+        p, frames = p + n, frames + 1
+    return p - at if frames >= 3 else None
+
+
+_TIFF_SIZES = {1: 1, 2: 1, 3: 2, 4: 4, 5: 8, 6: 1, 7: 1, 8: 2, 9: 4, 10: 8, 11: 4, 12: 8}
+
+
+def _tiff(b: bytes, at: int) -> int | None:
+    """To the end of the last directory, value or strip that a directory names."""
+    e = "<" if b[at : at + 2] == b"II" else ">"
+    if len(b) < at + 8:
+        return None
+    p, far, seen = struct.unpack_from(e + "I", b, at + 4)[0], 8, set()
+    while p:
+        if p in seen or p < 8 or at + p + 2 > len(b):
+            return None
+        seen.add(p)
+        count = struct.unpack_from(e + "H", b, at + p)[0]
+        if not count or at + p + 6 + 12 * count > len(b):
+            return None
+        strips: dict[int, tuple[int, ...]] = {}
+        for q in range(at + p + 2, at + p + 2 + 12 * count, 12):
+            tag, kind, n = struct.unpack_from(e + "HHI", b, q)
+            if kind not in _TIFF_SIZES:
+                return None
+            size = _TIFF_SIZES[kind] * n
+            where = q + 8 if size <= 4 else at + struct.unpack_from(e + "I", b, q + 8)[0]
+            if where + size > len(b):
+                return None
+            far = max(far, where + size - at)
+            if tag in (273, 279, 324, 325) and kind in (3, 4):
+                strips[tag] = struct.unpack_from(f"{e}{n}{'H' if kind == 3 else 'I'}", b, where)
+        for begin, size in ((273, 279), (324, 325)):
+            far = max([far, *(x + n for x, n in zip(strips.get(begin, ()), strips.get(size, ())))])
+        far = max(far, p + 6 + 12 * count)
+        p = struct.unpack_from(e + "I", b, at + p + 2 + 12 * count)[0]
+    return far if seen and at + far <= len(b) else None
+
+
+def _mp4(b: bytes, at: int) -> int | None:
+    """Boxes from the one of ``ftyp``, with a ``moov`` or ``moof`` among them."""
+    p, kinds = at, set()
+    while p + 8 <= len(b):
+        n, kind = struct.unpack_from(">I4s", b, p)
+        if n == 1 and p + 16 <= len(b):
+            n = struct.unpack_from(">Q", b, p + 8)[0]
+        n = n or len(b) - p
+        if n < 8 or p + n > len(b) or not all(32 <= c < 127 or c == 0xA9 for c in kind):
+            break
+        kinds.add(kind)
+        p += n
+    return p - at if kinds & {b"moov", b"moof"} else None
+
+
+def _vint(b: bytes, p: int) -> tuple[int, int | None]:
+    """Width and value of an EBML size; None: unknown size. Width 0: none is there."""
+    width = 9 - b[p].bit_length() if p < len(b) and b[p] else 0
+    if not width or p + width > len(b):
+        return 0, None
+    value = int.from_bytes(b[p : p + width], "big") & ((1 << 7 * width) - 1)
+    return width, None if value == (1 << 7 * width) - 1 else value
+
+
+def _matroska(b: bytes, at: int) -> int | None:
+    w, n = _vint(b, at + 4)
+    if not w or n is None or at + 4 + w + n > len(b) or not re.search(rb"\x42\x82.(?:webm|matroska)", b[at + 4 + w : at + 4 + w + n], re.S):
+        return None
+    p = at + 4 + w + n
+    v, size = _vint(b, p + 4)
+    if b[p : p + 4] != b"\x18\x53\x80\x67" or not v:
+        return None
+    end = len(b) if size is None else p + 4 + v + size
+    return end - at if end <= len(b) else None
 
 
 def _gzip(b: bytes, at: int) -> int | None:
@@ -124,10 +269,13 @@ def _gzip(b: bytes, at: int) -> int | None:
     return min(p, len(b)) - at - len(inflate.unused_data) if inflate.eof else None
 
 
-#: Magic bytes -> (type, validator).
-FORMATS: dict[bytes, tuple[str, Callable[[bytes, int], int | None]]] = {
-    b"RIFF": ("riff", _riff), b"\x89PNG\r\n\x1a\n": ("image/png", _png), b"GIF87a": ("image/gif", _gif), b"GIF89a": ("image/gif", _gif),
-    b"\xff\xd8\xff": ("image/jpeg", _jpeg), b"BM": ("image/bmp", _bmp), b"%PDF-": ("application/pdf", _pdf), b"\x1f\x8b\x08": ("application/gzip", _gzip),
+#: Magic bytes -> (type, validator, bytes before the magic).
+FORMATS: dict[bytes, tuple[str, Callable[[bytes, int], int | None], int]] = {
+    b"RIFF": ("riff", _riff, 0), b"\x89PNG\r\n\x1a\n": ("image/png", _png, 0), b"GIF87a": ("image/gif", _gif, 0), b"GIF89a": ("image/gif", _gif, 0),
+    b"\xff\xd8\xff": ("image/jpeg", _jpeg, 0), b"BM": ("image/bmp", _bmp, 0), b"%PDF-": ("application/pdf", _pdf, 0), b"\x1f\x8b\x08": ("application/gzip", _gzip, 0),
+    b"OggS": ("audio/ogg", _ogg, 0), b"fLaC": ("audio/flac", _flac, 0), b"II*\0": ("image/tiff", _tiff, 0), b"MM\0*": ("image/tiff", _tiff, 0),
+    b"ftyp": ("video/mp4", _mp4, 4), b"\x1aE\xdf\xa3": ("matroska", _matroska, 0), b"ID3": ("audio/mpeg", _mp3, 0),
+    b"\xff\xfb": ("audio/mpeg", _mp3, 0), b"\xff\xfa": ("audio/mpeg", _mp3, 0), b"\xff\xf3": ("audio/mpeg", _mp3, 0), b"\xff\xf2": ("audio/mpeg", _mp3, 0),
 }
 _RIFF_TYPES = {b"WAVE": "audio/wav", b"WEBP": "image/webp", b"AVI ": "video/x-msvideo"}
 
@@ -143,13 +291,19 @@ def _automaton():
 
 def sniff(data: bytes) -> tuple[str, int, list[tuple[str, int, int]]]:
     """Type and valid length of the medium at the start (unknown: 0), and (type, offset, length) of each one carved behind or in it."""
-    kind, length, carved, free = UNKNOWN, 0, [], 0
+    kind, length, carved, free, places = UNKNOWN, 0, [], 0, _Places(data)
     for end, magic in _automaton().iter(data.decode("latin-1")):
-        at = end - len(magic) + 1
-        name, valid = FORMATS[magic]
-        if at and at < free or not (n := valid(data, at)):
+        name, valid, before = FORMATS[magic]
+        at = end - len(magic) + 1 - before
+        if at < 0 or at and at < free:
             continue
-        name = _RIFF_TYPES[data[at + 8 : at + 12]] if name == "riff" else name
+        n = _pdf(data, at, places) if valid is _pdf else valid(data, at)
+        if not n:
+            continue
+        if name == "riff":
+            name = _RIFF_TYPES[data[at + 8 : at + 12]]
+        elif name == "matroska":
+            name = "video/webm" if b"webm" in data[at : at + 64] else "video/x-matroska"
         if at == 0:
             kind, length = name, n
         else:
@@ -158,11 +312,18 @@ def sniff(data: bytes) -> tuple[str, int, list[tuple[str, int, int]]]:
     return kind, length, carved
 
 
+def judged(declared: str | None, found: str) -> tuple[str, bool]:
+    """The type to use, and whether it corrects the declared one. What sniffing does not know leaves a declared type as it is."""
+    if found == UNKNOWN:
+        return declared or UNKNOWN, False
+    return found, declared is not None and declared.lower() != found
+
+
 def sniffed(table: DataFrame, id_col: str, media_col: str, declared_col: str | None = None) -> DataFrame:
     """A row for each row: (id, media_type, valid_bytes, corrected, embedded array of (type, offset, length)).
 
     Null and empty media have a null type, 0 bytes and nothing embedded; corrected says whether a declared type (null: none) differs
-    from the one found. Bytes behind the valid length are kept in view for carving. Repeated rows and null ids each give a row;
+    from the one found. A type that is not known stays as declared. Bytes behind the valid length are kept in view for carving. Repeated rows and null ids each give a row;
     an empty table gives an empty result; other columns are not read.
     """
     embedded = pa.list_(pa.struct([("type", pa.string()), ("offset", pa.int64()), ("length", pa.int64())]))
@@ -172,9 +333,10 @@ def sniffed(table: DataFrame, id_col: str, media_col: str, declared_col: str | N
             types, sizes, corrected, inside = [], [], [], []
             for data, declared in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
                 kind, n, carved = sniff(data) if data else (None, 0, [])
+                kind, wrong = judged(declared, kind) if data else (None, False)
                 types.append(kind)
                 sizes.append(n)
-                corrected.append(declared is not None and kind is not None and declared.lower() != kind)
+                corrected.append(wrong)
                 inside.append([{"type": t, "offset": at, "length": k} for t, at, k in carved])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(types, pa.string()), pa.array(sizes, pa.int64()), pa.array(corrected, pa.bool_()), pa.array(inside, embedded)], names=["id", "media_type", "valid_bytes", "corrected", "embedded"])
 
@@ -214,11 +376,12 @@ def feature(samples: bytes, channels: int, bits: int, rate: int, found: tuple[st
     return f"{found[0]};{channels}x{bits}@{rate};peak={int(x.max())};energy={energy};crossings={crossings};bins={'/'.join(map(str, bins))};embedded={inside}"
 
 
-def stored_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def stored_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", declared: str = "text/plain") -> DataFrame:
     """Each text as a WAV of its bytes, read back and described; null counts as empty.
 
     The payload is the UTF-8 text, filled with zero bytes to a positive multiple of 64. Returns doc_id, n_bytes, payload_bytes,
-    payload_sha256, tail_crc32, media_bytes, media_sha256, feature and media_type (sniffed). Equal texts give equal values. Repeated rows and
+    payload_sha256, tail_crc32, media_bytes, media_sha256, feature, and media_type with corrected: the column says ``declared``, and sniffing
+    finds what is stored. Equal texts give equal values. Repeated rows and
     null ids each give a row; an empty table gives an empty result; other columns are not read.
     """
 
@@ -231,11 +394,11 @@ def stored_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 media = store_samples(payload)
                 found = sniff(media)
                 samples, *form = read_samples(media)
-                rows.append((len(raw), len(samples), hashlib.sha256(samples).hexdigest(), zlib.crc32(samples[-64:]), len(media), hashlib.sha256(media).hexdigest(), feature(samples, *form, found), found[0]))
-            columns = list(zip(*rows)) or [[]] * 8
+                rows.append((len(raw), len(samples), hashlib.sha256(samples).hexdigest(), zlib.crc32(samples[-64:]), len(media), hashlib.sha256(media).hexdigest(), feature(samples, *form, found), *judged(declared, found[0])))
+            columns = list(zip(*rows)) or [[]] * 9
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t) for c, t in zip(columns, kinds))], names=names)
 
-    kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string()]
-    schema = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, media_type string"
+    kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.bool_()]
+    schema = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, media_type string, corrected boolean"
     names = [x.split(" ")[0] for x in schema.split(", ")]
     return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("t")).mapInArrow(run, schema)
