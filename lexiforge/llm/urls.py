@@ -6,7 +6,7 @@ import math
 from collections import Counter
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -86,7 +86,7 @@ class UrlModel:
 def filtered_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules: list[tuple[str, str]] | None = None, training_rows: int = TRAINING_ROWS) -> DataFrame:
     """(page_id, host, path, rule, verdict, score) for every row.
 
-    The verdict is the longest fitting rule's; without one, the model's: block from a score of 0.5. The model learns from URLs that a
+    The verdict is the longest fitting rule's, with a null score; without one, the model's: block from a score of 0.5. The model learns from URLs that a
     rule decides: at most ``training_rows`` different ones, chosen by hash. With no such URL, or only one verdict among them, the
     score is that verdict's share (none: allow). Null and empty URLs have empty host and path and are scored as empty.
     Repeated rows and null ids each give a row; an empty table gives an empty result; other columns are not read.
@@ -98,9 +98,13 @@ def filtered_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
     learn = cut.where("rule is not null").select("u", "host", "path", "says").distinct().orderBy(F.xxhash64("u"), "u").limit(training_rows).collect()
     model = UrlModel([(r.u, r.host, r.path) for r in learn], [int(r.says == "block") for r in learn])
 
-    @F.pandas_udf("double")
-    def score(u: pd.Series, host: pd.Series, path: pd.Series) -> pd.Series:
-        return pd.Series(model.score(list(zip(u, host, path))))
+    @F.arrow_udf("double")
+    def score(u: pa.Array, host: pa.Array, path: pa.Array) -> pa.Array:
+        left = [k for k, x in enumerate(u.is_valid().to_pylist()) if x]
+        out = np.full(len(u), np.nan)
+        out[left] = model.score(list(zip(*(c.take(pa.array(left, pa.int64())).to_pylist() for c in (u, host, path)))))
+        return pa.array(out, pa.float64(), mask=np.isnan(out))
 
-    scored = cut.withColumn("score", score("u", "host", "path"))
+    undecided = F.when(F.col("rule").isNull(), F.col("u"))
+    scored = cut.withColumn("score", score(undecided, "host", "path"))
     return scored.select("page_id", "host", "path", "rule", F.coalesce("says", F.when(F.col("score") >= 0.5, "block").otherwise("allow")).alias("verdict"), "score")
