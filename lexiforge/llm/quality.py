@@ -1,6 +1,6 @@
 """Document quality by attention-based multiple-instance learning.
 
-A document is a bag of passages. Each passage is encoded from whole-passage statistics through a learned layer; gated attention
+A document is a bag of passages. Each passage is encoded from whole-passage statistics and hashed words through a learned layer; gated attention
 gives every passage a weight; the weighted sum of the encodings gives the score. All weights are learned from document labels alone,
 on the driver, from a bounded sample; scoring is one pass over the text without a shuffle.
 """
@@ -10,19 +10,19 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 PASSAGE_WORDS = 48
-#: Labelled documents that are learned from at most, chosen by a hash of doc_id; of each at most so many passages, evenly spaced.
-TRAINING_DOCS, TRAINING_PASSAGES = 4000, 256
+#: Labelled documents that are learned from at most, chosen by a hash of doc_id among those whose text has at most so many bytes.
+TRAINING_DOCS, TRAINING_BYTES = 4000, 1 << 20
 THRESHOLD = 0.3
 
-
-#: Bytes that are encoded at once; a longer text is cut behind white space, and its passages end there.
+#: Places that the words of a passage are hashed to.
+HASHED = 64
+#: Bytes that are looked at together, about. Passages do not depend on it: a longer text is cut only where a passage ends.
 BLOCK = 1 << 18
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -38,12 +38,17 @@ _EVEN = np.uint64(pow(int(_ODD), -1, 1 << 64))
 class PassageEncoder:
     """Statistics of each passage of texts, over whole blocks of bytes at once."""
 
-    width = 22
+    statistics = 22
+    width = statistics + HASHED
 
     def __init__(self):
-        n = 2 * BLOCK + 2
-        self._power = np.multiply.accumulate(np.concatenate(([np.uint64(1)], np.full(n, _ODD))))
-        self._inverse = np.multiply.accumulate(np.concatenate(([np.uint64(1)], np.full(n, _EVEN))))
+        self._power = self._inverse = np.zeros(0, np.uint64)
+
+    def _powers(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if n > len(self._power):
+            of = lambda x: np.multiply.accumulate(np.concatenate(([np.uint64(1)], np.full(max(n, 2 * BLOCK + 2), x))))
+            self._power, self._inverse = of(_ODD), of(_EVEN)
+        return self._power[:n], self._inverse
 
     def __call__(self, texts: list[bytes]) -> list[np.ndarray]:
         """For each text passages x width; a text without words is one passage of zeros."""
@@ -73,12 +78,17 @@ class PassageEncoder:
 
     @staticmethod
     def _cut(text: bytes):
-        at = 0
-        while len(text) - at > BLOCK:
-            end = max(text.rfind(b" ", at, at + BLOCK), text.rfind(b"\n", at, at + BLOCK)) + 1
-            end = end if end > at else at + BLOCK  # a word longer than a block
-            yield text[at:end]
-            at = end
+        """Pieces that end where a passage does."""
+        at, reach = 0, BLOCK
+        while len(text) - at > reach:
+            space = _SPACE[np.frombuffer(text, np.uint8, reach, at)]
+            words = np.flatnonzero(~space & np.concatenate(([True], space[:-1])))
+            whole = (len(words) - 1) // PASSAGE_WORDS * PASSAGE_WORDS
+            if whole <= 0:  # no passage ends here: look further
+                reach *= 2
+                continue
+            yield text[at : at + words[whole]]
+            at, reach = at + int(words[whole]), BLOCK
         yield text[at:]
 
     def _into(self, parts: list[list[np.ndarray]], block: list[bytes], owners: list[int]) -> None:
@@ -116,9 +126,10 @@ class PassageEncoder:
         chars, letters, upper, digits = (end - start) - within(_TAIL[raw]), within(_LETTER[raw]), within(upper_at), within(_DIGIT[raw])
         other = chars - letters - digits
         last, head = raw[end - 1], upper_at[start]
-        sums = np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * self._power[: len(raw)])
+        power, inverse = self._powers(len(raw))
+        sums = np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * power)
         sums = np.concatenate(([np.uint64(0)], sums))
-        word = (sums[end] - sums[start]) * self._inverse[start]
+        word = (sums[end] - sums[start]) * inverse[start]
 
         starts = np.flatnonzero(np.concatenate(([True], passage[1:] != passage[:-1])))
         size = np.diff(np.append(starts, n)).astype(np.float32)
@@ -145,6 +156,9 @@ class PassageEncoder:
         x[:, 17] = (x[:, 6] == 0) & (size > 40)
         x[:, 18] = x[:, 3] > 0.5 * x[:, 2]
         x[:, 19] = x[:, 5] > 0.3
+        place = ((word * _EVEN) >> np.uint64(40)).astype(np.int64) % HASHED
+        hits = np.bincount(passage * HASHED + place, minlength=len(starts) * HASHED).reshape(-1, HASHED)
+        x[:, self.statistics :] = hits / size[:, None]
         return x, counts
 
 
@@ -228,15 +242,13 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         for batch in batches:
             rows = []
             for x in encoder([t or b"" for t in pc.cast(batch.column(2), pa.binary()).to_pylist()]):
-                if len(x) > TRAINING_PASSAGES:
-                    x = x[np.linspace(0, len(x) - 1, TRAINING_PASSAGES).astype(int)]
                 rows.append(x.tobytes())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(rows, pa.binary())], names=["id", "y", "x"])
 
-    text = docs.select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("__t"))
+    text = docs.select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("__t")).where(F.coalesce(F.octet_length("__t"), F.lit(0)) <= TRAINING_BYTES)
     sample = text.join(F.broadcast(chosen), "__id").select(F.xxhash64("__id").alias("id"), "__y", "__t").mapInArrow(encode, "id long, y int, x binary").collect()
     sample.sort(key=lambda r: (r.id, r.x))
-    sample = sample[: 2 * training_docs]  # ids that many rows repeat
+    sample = sample[: 2 * training_docs]  # part of the bound: ids that many rows repeat
     y = np.array([r.y for r in sample], float)
     if len(set(y)) < 2:
         return _Constant(float(y.mean()) if len(y) else 1.0)
@@ -246,15 +258,15 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 def score_column(model: AttentionModel | _Constant, text: Column) -> Column:
     """Scores of whole texts; null counts as empty."""
 
-    @F.pandas_udf("double")
-    def score(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("double")
+    def score(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = PassageEncoder()
         for texts in parts:
             out = []
             for at in range(0, len(texts), 256):
-                bags = encoder([(t or "").encode() for t in texts.iloc[at : at + 256]])
+                bags = encoder([t or b"" for t in pc.cast(texts.slice(at, 256), pa.binary()).to_pylist()])
                 out.append(model.score(np.concatenate(bags), np.cumsum([0] + [len(b) for b in bags[:-1]])))
-            yield pd.Series(np.concatenate(out) if out else np.zeros(0))
+            yield pa.array(np.concatenate(out) if out else np.zeros(0))
 
     return score(text.cast("string"))
 
