@@ -19,6 +19,13 @@ def sequence_counts(docs: DataFrame, text: Column | str = "text") -> DataFrame:
     return text_counts(docs, text).select(sequence_key(F.col("text")).alias("seq"), "count")
 
 
+def sharded_counts(docs: DataFrame, shard: Column, text: Column | str = "text") -> DataFrame:
+    """A01 for every shard at once: (shard, seq, count), from one scan."""
+    t = F.col(text) if isinstance(text, str) else text
+    grouped = docs.select(shard.alias("shard"), pystrip(t).alias("text")).where("text <> ''").groupBy("shard", "text").agg(F.count("*").alias("count"))
+    return grouped.select("shard", sequence_key(F.col("text")).alias("seq"), "count")
+
+
 def merged_counts(parts: DataFrame) -> DataFrame:
     """Counts of all files by sequence; rows without a sequence or a positive count are dropped."""
     good = parts.where("seq is not null and seq <> '' and count > 0")

@@ -120,3 +120,13 @@ def null_profile(df: DataFrame) -> DataFrame:
     kinds = dict(df.dtypes)
     cells = F.array(*[F.struct(F.lit(c).alias("column"), F.lit(kinds[c]).alias("type"), F.coalesce(F.col(f"n{k}"), F.lit(0)).cast("long").alias("nulls")) for k, c in enumerate(names)])
     return agg.select("rows", F.explode(cells).alias("x")).select("x.column", "x.type", "rows", "x.nulls")
+
+
+def status_counts(status: DataFrame, column: str = "status") -> DataFrame:
+    """How many files are in each state."""
+    return status.groupBy(column).agg(F.count("*").alias("n"))
+
+
+def preview(rows: DataFrame, order: list, text: str, most: int = 5, width: int = 80) -> DataFrame:
+    """The first ``most`` rows, their text cut to ``width`` characters."""
+    return rows.orderBy(*order).limit(most).withColumn(text, F.substring(text, 1, width))

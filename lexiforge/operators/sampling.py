@@ -48,8 +48,14 @@ def budget_sample(files: DataFrame, language: str, size: str, key: str, target:
     """shuffled files of each language until its share of ``target`` bytes is reached; the crossing file stays."""
     total = files.groupBy(language).agg(F.sum(size).alias("lang_bytes"))
     shares = total.crossJoin(F.broadcast(total.agg(F.sum("lang_bytes").alias("all_bytes")))).select(language, F.floor(F.lit(target) * F.col("lang_bytes") / F.col("all_bytes")).alias("budget"))
-    before = F.coalesce(F.sum(size).over(W.partitionBy(language).orderBy(shuffle_key(key, seed), key).rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    return files.withColumn("before", before).join(shares, language).where("before < budget").drop("before", "budget")
+    # Running sums in two steps: over at most 4096 ranges of the shuffle key for each language, then within a range.
+    keyed = files.withColumn("order_", shuffle_key(key, seed)).withColumn("range_", F.substring("order_", 1, 3))
+    behind = lambda w: w.rowsBetween(W.unboundedPreceding, -1)
+    ranges = keyed.groupBy(language, "range_").agg(F.sum(size).alias("range_size"))
+    starts = ranges.select(language, "range_", F.coalesce(F.sum("range_size").over(behind(W.partitionBy(language).orderBy("range_"))), F.lit(0)).alias("start_"))
+    inside = F.coalesce(F.sum(size).over(behind(W.partitionBy(language, "range_").orderBy("order_", key))), F.lit(0))
+    rows = keyed.withColumn("inside_", inside).join(starts, [language, "range_"]).join(shares, language)
+    return rows.where(F.col("start_") + F.col("inside_") < F.col("budget")).select(*files.columns)
 
 
 def size_in_gb(literal: str) -> float:
@@ -94,3 +100,13 @@ def merges_per_round(memory_gb: float, vocab: int) -> int:
         if memory_gb >= least:
             return min(most, int(base * factor))
     return min(4_000, int(base * 0.4))
+
+
+def chunk_size(normal: int, memory_used: float) -> int:
+    """Rows to take at once: a quarter over 90 % of memory, half over 80 %, 1000 at least."""
+    return max(1000, normal // (4 if memory_used > 0.9 else 2 if memory_used > 0.8 else 1))
+
+
+def frequent(counts: DataFrame, least: int, column: str = "count") -> DataFrame:
+    """entries that are frequent enough."""
+    return counts.where(F.col(column) >= least)

@@ -11,12 +11,13 @@ import json
 from collections import defaultdict
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexiforge.functions.text import codepoints
 from lexiforge.operators.counts import conflict_free, text_counts, top_pairs
 from lexiforge.operators.sampling import adaptive_min_frequency
+from lexiforge.plans import resume
 from lexiforge.plans.merging import apply_merges
 from lexiforge.storage import materialize
 
@@ -50,20 +51,35 @@ def symbol_pairs(seqs: DataFrame) -> DataFrame:
 
 def train(
     seqs: DataFrame, vocab_size: int, batch_merges: int = 12_000, min_frequency: int = 2, mode: str = "iterative", initial: int | None = None,
-    max_rounds: int | None = None, specials: int = 0,
+    max_rounds: int | None = None, specials: int = 0, folder: str | None = None,
 ) -> Trained:
     """Rounds of conflict-free merges until a stop rule of B03 holds.
 
     ``mode`` "iterative" rewrites the last round's sequences with the new merges; "single_pass" rewrites the raw sequences with
-    all merges so far in one pass, so that no merge of a merged symbol is ever applied.
+    all merges so far in one pass, so that no merge of a merged symbol is ever applied. With a ``folder`` every round is saved there, and a
+    call with a folder that holds rounds goes on behind the last whole one (B07), with the sequences and settings it was begun with.
     """
     if mode not in ("iterative", "single_pass"):
         raise ValueError(f"unknown mode {mode!r}")
     base = materialize(seqs.where(F.size("seq") > 0), "sequences")
     done, now, by_text = Trained(), base, {}
-    size = initial if initial is not None else base.select(F.explode("seq").alias("s")).distinct().count()
-    size += specials
-    next_id, table = FIRST_MERGED, {}
+    spark, next_id, table = seqs.sparkSession, FIRST_MERGED, {}
+    saved = resume.latest(spark, folder) if folder else None
+    if saved:
+        _, now, state = saved
+        done = Trained({int(k): v for k, v in state["tokens"].items()}, [tuple(m) for m in state["merges"]], state["rounds"])
+        size, min_frequency, next_id = state["size"], state["min_frequency"], FIRST_MERGED + len(done.tokens)
+        by_text, table = {v: k for k, v in done.tokens.items()}, {(a, b): s for _, a, b, s, _ in done.merges}
+    else:
+        size = specials + (initial if initial is not None else base.select(F.explode("seq").alias("s")).distinct().count())
+
+    def kept(rows: DataFrame) -> DataFrame:
+        if not folder:
+            return materialize(rows, "round")
+        state = {"tokens": done.tokens, "merges": done.merges, "rounds": done.rounds, "size": size, "min_frequency": min_frequency}
+        resume.save_round(spark, folder, len(done.rounds) - 1, rows, state)
+        return resume.latest(spark, folder)[1]
+
     while True:
         if size + len(done.merges) >= vocab_size:
             done.stopped = "vocabulary is full"
@@ -107,9 +123,9 @@ def train(
             break
         if mode == "iterative":
             reused = [(a, b, s) for (a, b), s in table.items() if s in {m[2] for m in fresh}]
-            now = materialize(apply_merges(now, "seq", {*fresh, *reused}), "round")
+            now = kept(apply_merges(now, "seq", {*fresh, *reused}))
         else:
-            now = materialize(apply_merges(base, "seq", [(a, b, s) for (a, b), s in table.items()]), "round")
+            now = kept(apply_merges(base, "seq", [(a, b, s) for (a, b), s in table.items()]))
     return done
 
 
@@ -218,6 +234,37 @@ def train_all_words(words: DataFrame, vocab_size: int, min_frequency: int = 2, s
     return train_words(words, vocab_size, min_frequency, specials, driver_limit) if few else train_words_rounds(words, vocab_size, min_frequency, specials)
 
 
+def add_batch(folder: str, name: str, words: DataFrame) -> DataFrame:
+    """The (token, count) words of a batch, counted once under its name however often it is given."""
+    return resume.once(words.sparkSession, f"{folder}/batch={name}", lambda: words.select("token", "count"))
+
+
+def batch_counts(spark, folder: str) -> DataFrame:
+    """(token, count) over all batches so far; training on it is training on all their texts."""
+    return spark.read.schema("token string, count long").parquet(f"{folder}/batch=*").groupBy("token").agg(F.sum("count").cast("long").alias("count"))
+
+
+def missing_specials(vocabulary: DataFrame, specials: list[str]) -> DataFrame:
+    """(ord, token) of the special tokens that a vocabulary (token) lacks, in order."""
+    wanted = vocabulary.sparkSession.createDataFrame(list(enumerate(dict.fromkeys(specials))), "ord long, token string")
+    return wanted.join(vocabulary.select("token"), "token", "left_anti").select("ord", "token")
+
+
+def with_specials(vocabulary: DataFrame, specials: list[str]) -> DataFrame:
+    """A vocabulary (token, id) with the special tokens it lacks behind its last id."""
+    last = vocabulary.agg(F.coalesce(F.max("id"), F.lit(-1)).alias("last"))
+    lacking = missing_specials(vocabulary, specials).crossJoin(F.broadcast(last))  # a row for each special token
+    at = F.row_number().over(Window.orderBy("ord"))
+    return vocabulary.select("token", "id").union(lacking.select("token", (F.col("last") + at).cast("long")))
+
+
+def assigned_ids(tokens: DataFrame, vocabulary: DataFrame, first: int) -> DataFrame:
+    """(ord, token, id): a token (ord, token) of a round keeps the id it has in the vocabulary; new ones get ids from ``first`` on, in order."""
+    known = tokens.join(vocabulary.select("token", "id"), "token", "left")
+    fresh = F.row_number().over(Window.partitionBy(F.col("id").isNull()).orderBy("ord"))  # the merges of one round
+    return known.select("ord", "token", F.coalesce("id", F.lit(first) + fresh - 1).cast("long").alias("id"))
+
+
 def artifacts(tokens: list[str], merges: list[tuple[str, str]], specials: list[str], extra: dict | None = None) -> dict[str, str]:
     """File name -> content. Merges are also written as JSON pairs, since a token may hold spaces."""
     order = list(dict.fromkeys([*specials, *tokens]))

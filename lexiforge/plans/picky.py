@@ -63,5 +63,14 @@ def train(seqs: DataFrame, steps: int, threshold: float = 0.9, mode: str = "as_i
     return done
 
 
+def inclusion(seqs: DataFrame, a: int, b: int) -> DataFrame:
+    """(merged, left, right, ios_left, ios_right): how often a pair merges, how often its parts still stand alone then, and the ratios."""
+    new = FIRST_MERGED
+    symbols = apply_merges(seqs.select("seq"), "seq", [(a, b, new)]).select(F.explode("seq").alias("s")).where(F.col("s").isin([a, b, new]))
+    counted = symbols.agg(*[F.count_if(F.col("s") == s).alias(n) for s, n in ((new, "merged"), (a, "left"), (b, "right"))])
+    share = lambda c: F.coalesce(F.col("merged") / F.nullif(F.col(c), F.lit(0)), F.lit(0.0)).alias(f"ios_{c}")
+    return counted.select("merged", "left", "right", share("left"), share("right"))
+
+
 def event_table(spark, done: Picked) -> DataFrame:
     return spark.createDataFrame(done.events, "step int, event string, left string, right string, token string")

@@ -241,7 +241,20 @@ def F15_code_like(spark, d):
     return rows.select("k", text.looks_like_code(F.col("t")).alias("code"))
 
 
-@query()
+def _scores(parts: list[tuple[str, str]]) -> str:
+    """The language of the highest positive score; of equals the last by name."""
+    return "list_aggregate(list_filter([" + ", ".join(f"{{'n': {n}, 'lang': '{lang}'}}" for lang, n in parts) + "], lambda s: s.n > 0), 'max').lang"
+
+
+_STOPS = _scores([(lang, f"len(list_filter(ws, lambda w: list_contains({stops!r}, w)))") for lang, stops in text.STOP_WORDS.items()])
+_LETTERS = _scores([(lang, f"length(head) - length(translate(head, '{letters}', ''))") for lang, letters in text._MARKED.items()])
+_CODE = f"""length(text) >= 40 AND (({" + ".join(f"contains(lower(text), '{m}')::INT" for m in text.CODE_MARKS)}) >= 3
+    OR (length(text) - length(replace(replace(text, '{{', ''), '}}', '')) >= 4 AND length(text) - length(replace(text, ';', '')) >= 4))"""
+
+
+@query(rf"""WITH h AS (SELECT doc_id, lang, text, lower(text[1:2000]) AS head, regexp_extract_all(lower(text[1:2000]), '[\pL\pM\p{{Nd}}\p{{Pc}}]+') AS ws FROM documents),
+    b AS (SELECT *, {_STOPS} AS first, coalesce({_LETTERS}, CASE WHEN regexp_matches(head, '[a-z]') THEN 'en' END) AS second FROM h)
+    SELECT doc_id, lang, CASE WHEN {_CODE} THEN 'code' WHEN length({STRIP.format('text')}) >= 30 THEN coalesce(first, second, 'und') ELSE 'und' END AS language FROM b""")
 def F17_vote(spark, d):
     voted = text.vote([text.stop_word_language(F.col("text")), text.letter_language(F.col("text"))])
     return _docs(spark, d).select("doc_id", "lang", text.decided_language(F.col("text"), voted).alias("language"))
@@ -350,14 +363,20 @@ def N15_safe_ids(spark, d):
     return read_table(spark, d, "pages").select("page_id", text.safe_id(F.col("url")).alias("id"), text.repaired_url(F.col("url")).alias("url"))
 
 
-@query()
+@query(f"""WITH r(o, a, b) AS (VALUES {", ".join(f"({k}, {a}, {b})" for k, (a, b) in enumerate(unicode.ALPHABET_RANGES))}),
+    c AS (SELECT o, cp, chr(cp::INT) AS token FROM (SELECT o, unnest(range(a, b)) AS cp FROM r) UNION ALL SELECT 1000 + k, 0, t FROM (VALUES {_values(list(unicode.ALPHABET_EXTRA))}) v(k, t)),
+    k AS (SELECT token, min(o * 2000000 + cp) AS place FROM c WHERE regexp_full_match(token, '[\\pL\\pM\\pN\\pP\\pS\\pZ\\p{{Cf}}]') GROUP BY token)
+    SELECT row_number() OVER (ORDER BY place) - 1 AS id, token FROM k""")
 def N20_base_alphabet(spark, d):
     return spark.createDataFrame(list(enumerate(unicode.base_alphabet())), "id long, token string")
 
 
-@query()
+@query(r"""WITH m AS (SELECT doc_id, text, regexp_replace(text, '(\s)(\s\S)', '\1' || chr(1) || '\2', 'g') AS marked FROM documents),
+    p AS (SELECT doc_id, text, regexp_extract_all(marked, '''s|''t|''re|''ve|''m|''ll|''d| ?\pL+| ?\pN| ?[^\s\pL\pN\x01]+|\s+') AS ps FROM m)
+    SELECT doc_id, len(ps)::BIGINT AS pieces, md5(array_to_string(ps, chr(1))) AS pieces_md5, array_to_string(ps, '') = text AS whole FROM p""")
 def N22_pre_tokens(spark, d):
-    return _docs(spark, d).select("doc_id", F.size(encode.pre_tokens(F.col("text"))).cast("long").alias("pieces"), (F.array_join(encode.pre_tokens(F.col("text")), "") == F.col("text")).alias("whole"))
+    pieces = encode.pre_tokens(F.col("text"))
+    return _docs(spark, d).select("doc_id", F.size(pieces).cast("long").alias("pieces"), F.md5(F.array_join(pieces, "\x01")).alias("pieces_md5"), (F.array_join(pieces, "") == F.col("text")).alias("whole"))
 
 
 # ---- joins and sets
@@ -421,9 +440,8 @@ def A01_sequence_counts(spark, d):
 
 @query(f"WITH {TEXTS} SELECT md5({KEY.format('text')}) AS seq_md5, count FROM t")
 def A04_merge_counts(spark, d):
-    docs = _docs(spark, d)
-    parts = [counts.sequence_counts(docs.where(F.pmod("doc_id", F.lit(4)) == k)) for k in range(4)]  # four shards, then merged: all rows
-    merged = counts.merged_counts(parts[0].union(parts[1]).union(parts[2]).union(parts[3]))
+    parts = counts.sharded_counts(_docs(spark, d).select("doc_id", "text"), F.pmod("doc_id", F.lit(4)))  # four shards, then merged: all rows
+    merged = counts.merged_counts(parts)
     return merged.select(F.md5("seq").alias("seq_md5"), "count")
 
 
@@ -583,7 +601,7 @@ def B01_apply_merges_round1(spark, d):
 
 @query()
 def B02_bpe_rounds(spark, d):
-    done = bpe.train(bpe.sequences(_docs(spark, d)), vocab_size=10_000, batch_merges=40, max_rounds=3)
+    done = bpe.train(bpe.sequences(_docs(spark, d)), vocab_size=300)  # until a stop rule holds
     rows = [(r, done.text(a), done.text(b), done.text(n), c) for r, a, b, n, c in done.merges]
     return spark.createDataFrame(rows, "round int, left string, right string, token string, cnt long")
 
@@ -601,15 +619,33 @@ def B05_picky(spark, d):
     return picky.event_table(spark, picky.train(seqs, steps=12))
 
 
-@query()
+VOCABULARY = ["the", "th", "e", "tion", "on", "and", "an", "de", "der", "la", "ent"]
+
+
+@query(f"""WITH m AS (SELECT doc_id, regexp_extract_all(text, '{"|".join(sorted(VOCABULARY, key=lambda w: (-len(w), w)))}') AS ts FROM documents)
+    SELECT doc_id, len(ts)::BIGINT AS tokens, md5(array_to_string(ts, ' ')) AS tokens_md5 FROM m""")
 def B10_longest_match(spark, d):
-    vocabulary = ["the", "th", "e", "tion", "on", "and", "an", "de", "der", "la", "ent"]
-    return _docs(spark, d).select("doc_id", F.size(encode.longest_matches(F.col("text"), vocabulary)).cast("long").alias("tokens"))
+    found = encode.longest_matches(F.col("text"), VOCABULARY)
+    return _docs(spark, d).select("doc_id", F.size(found).cast("long").alias("tokens"), F.md5(F.array_join(found, " ")).alias("tokens_md5"))
+
+
+MERGES = [("t", "h"), ("o", "n"), ("th", "e"), ("e", "r"), ("a", "n"), ("i", "on"), ("e", "n"), ("an", "d"), ("t", "ion"), ("d", "e"), ("en", "t"), ("l", "a"), ("i", "n"), ("e", "s"), ("o", "u"), ("s", "t")]
 
 
-@query("SELECT doc_id, true AS whole FROM documents")
+def _merged(symbols: str) -> str:
+    """The merges one after the other, each from the left, on symbols that a character 1 opens and a character 2 ends."""
+    for a, b in MERGES:
+        symbols = f"replace({symbols}, chr(1) || '{a}' || chr(2) || chr(1) || '{b}' || chr(2), chr(1) || '{a}{b}' || chr(2))"
+    return symbols
+
+
+@query(f"""WITH s AS (SELECT doc_id, {_merged("array_to_string(list_transform(string_split(text, ''), lambda c: chr(1) || c || chr(2)), '')")} AS s FROM documents)
+    SELECT doc_id, md5(s) AS tokens_md5, true AS whole FROM s""")
 def B11_encode_roundtrip(spark, d):
-    words = counts.token_counts(read_table(spark, d, "benchmark"), metrics.whitespace_tokens(F.col("text")))
-    _, merges = bpe.train_words(words, 300)
-    tokens = encode.bpe_tokens(F.col("text"), merges)
-    return _docs(spark, d).select("doc_id", (encode.decoded(tokens) == F.col("text")).alias("whole"))
+    tokens = encode.bpe_tokens(F.col("text"), MERGES)
+    coded = _docs(spark, d).select("doc_id", "text", tokens.alias("tokens"))
+    shown = F.array_join(F.transform("tokens", lambda t: F.concat(F.lit("\x01"), t, F.lit("\x02"))), "")
+    return coded.select("doc_id", F.md5(shown).alias("tokens_md5"), (encode.decoded(F.col("tokens")) == F.col("text")).alias("whole"))
+
+
+from lexiforge import queries_more  # noqa: E402, F401  (registers its queries)

@@ -85,10 +85,19 @@ def json_texts(spark: SparkSession, path: str, least: int = 11) -> DataFrame:
     return df.select(first_text(df).alias("text")).where((F.length(pystrip(F.col("text"))) >= least) & (F.length("text") >= least))
 
 
+def arrow_folders(spark: SparkSession, root: str) -> list[str]:
+    """Folders below ``root`` that hold a dataset in Arrow files: dataset_info.json, state.json and an .arrow file side by side."""
+    names = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select(F.regexp_extract("path", r"^(.*)/[^/]*$", 1).alias("folder"), F.substring_index("path", "/", -1).alias("name"))
+    marks = names.groupBy("folder").agg(F.count_if(F.col("name") == "dataset_info.json").alias("i"), F.count_if(F.col("name") == "state.json").alias("s"), F.count_if(F.col("name").endswith(".arrow")).alias("a"))
+    return sorted(r["folder"] for r in marks.where("i > 0 and s > 0 and a > 0").collect())  # a catalogue of folders
+
+
 def tree_texts(spark: SparkSession, root: str) -> DataFrame:
-    """All Parquet and JSON-lines files below a folder."""
-    out = None
-    for kind, reader in (("parquet", lambda p: parquet_texts(p[0], p[1])), ("jsonl", None)):
+    """All Parquet and JSON-lines files below a folder, and its Arrow datasets; other files inside those are theirs and not read."""
+    folders = arrow_folders(spark, root)
+    inside = lambda c: c.rlike("^(" + "|".join(r"\\Q" + f + r"\\E/" for f in folders) + ")") if folders else F.lit(False)
+    parts = []
+    for kind in ("parquet", "jsonl"):
         scan = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", f"*.{kind}")
         try:
             df = scan.parquet(root) if kind == "parquet" else scan.option("mode", "DROPMALFORMED").json(root)
@@ -96,32 +105,58 @@ def tree_texts(spark: SparkSession, root: str) -> DataFrame:
             if "UNABLE_TO_INFER_SCHEMA" in str(x) or "PATH_NOT_FOUND" in str(x):
                 continue
             raise
-        part = df.select(first_text(df).alias("text")).where("text is not null and text <> ''")
-        out = part if out is None else out.unionByName(part)
-    return out if out is not None else spark.createDataFrame([], "text string")
+        parts.append(df.where(~inside(F.col("_metadata.file_path"))).select(first_text(df).alias("text")).where("text is not null and text <> ''"))
+    parts += [arrow_texts(spark, f"{f}/*.arrow") for f in folders]
+    out = parts[0] if parts else spark.createDataFrame([], "text string")
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def first_rows(spark: SparkSession, paths: str | list[str], most: int) -> DataFrame:
+    """At most the first ``most`` rows of each Parquet file, by their place in it; no shuffle."""
+    df = spark.read.parquet(*([paths] if isinstance(paths, str) else paths))
+    return df.where(F.col("_metadata.row_index") < most).select(df.columns)
+
+
+def arrow_texts(spark: SparkSession, paths: str | list[str], column: str = "text") -> DataFrame:
+    """Texts of over 10 characters from Arrow IPC files, a file for each row of the scan."""
+    return arrow_contents(spark.read.format("binaryFile").load(paths).select("content"), column)
 
 
-def arrow_texts(spark: SparkSession, files: list[str], column: str = "text") -> DataFrame:
-    """Arrow IPC files, a file for each task."""
+def arrow_contents(files: DataFrame, column: str = "text") -> DataFrame:
+    """S12 on a column of whole IPC files or streams; a value that is neither fails the task."""
 
     def run(batches):
         import pyarrow as pa
 
         for batch in batches:
-            for path in batch.column(0).to_pylist():
-                with pa.memory_map(path) as source:
-                    try:
-                        reader = pa.ipc.open_file(source)
-                        found = (reader.get_batch(k) for k in range(reader.num_record_batches))
-                        found = list(found)
-                    except pa.ArrowInvalid:
-                        source.seek(0)
-                        found = list(pa.ipc.open_stream(source))
-                    for b in found:
-                        yield pa.RecordBatch.from_arrays([b.column(column).cast(pa.string())], names=["text"])
-
-    paths = spark.createDataFrame([(f,) for f in files], "path string").repartition(max(1, len(files)), "path")
-    return paths.mapInArrow(run, "text string").where("length(text) > 10")
+            for content in batch.column(0):
+                data = content.as_buffer()
+                try:
+                    reader = pa.ipc.open_file(data)
+                    found = (reader.get_batch(k) for k in range(reader.num_record_batches))
+                except pa.ArrowInvalid:
+                    found = pa.ipc.open_stream(data)
+                for b in found:
+                    yield pa.RecordBatch.from_arrays([b.column(b.schema.get_field_index(column)).cast(pa.string())], names=["text"])
+
+    return files.mapInArrow(run, "text string").where("length(text) > 10")
+
+
+def arrow_files(rows: DataFrame, column: str = "text") -> DataFrame:
+    """The texts as Arrow IPC files, one for each batch: (content binary)."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_file(sink, batch.schema) as writer:
+                writer.write_batch(batch)
+            yield pa.RecordBatch.from_arrays([pa.array([sink.getvalue().to_pybytes()], pa.binary())], names=["content"])
+
+    return rows.select(F.col(column).alias("text")).mapInArrow(run, "content binary")
 
 
 def lines(spark: SparkSession, path: str) -> DataFrame:
