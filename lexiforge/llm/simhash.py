@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexiforge.llm.components import component_roots
+from lexiforge.llm.substring import window_hashes
 from lexiforge.storage import materialize
 
 SEED = 42
@@ -174,15 +175,17 @@ class _Forest:
 
 def trie_forest(
     keys: np.ndarray, ranges: np.ndarray, budget: int | tuple[int, ...], leaf: int = 1024, parts: np.ndarray | None = None, emit=None, spans=None,
-    wide: np.ndarray | None = None, wide_budget: int = 0,
+    wide: np.ndarray | None = None, wide_budget: int | tuple[int, ...] = 0,
 ) -> np.ndarray:
     """Component label of each row of ``keys`` (n x words, uint64), linked where at most ``budget`` bits differ.
 
-    ``ranges`` has a row (lo_a, hi_a, lo_b, hi_b) for each pair of tries to join; keys are sorted within each range. Several rising budgets
-    make several passes, so that close pairs link before wide ones. Rows of one part are linked from the start. ``spans(i, j)`` gets the
-    pairs that linked. With ``emit`` nothing is linked: it gets all near pairs of rows of different parts whose ``wide`` sketches differ in
-    at most ``wide_budget`` bits.
+    ``ranges`` has a row (lo_a, hi_a, lo_b, hi_b) for each pair of tries to join; keys are sorted within each range. Of several rising budgets
+    the last counts; the others only make close pairs link before wide ones. Rows of one part are linked from the start. With ``wide``
+    sketches a pair must be within ``wide_budget`` bits of these too, and they give the order. ``spans(i, j)`` gets the pairs that linked.
+    With ``emit`` nothing is linked: it gets all such pairs of rows of different parts.
     """
+    rising = lambda b: (b,) if isinstance(b, int) else tuple(b)
+    most, levels = rising(budget)[-1], rising(budget if wide is None else wide_budget)
     n = len(keys)
     forest, ones_before = _Forest(n, spans), {}
     if parts is not None:
@@ -195,8 +198,8 @@ def trie_forest(
             ones_before[depth] = np.concatenate(([0], np.cumsum(bit.astype(np.int64)))).astype(np.int32)
         return ones_before[depth]
 
-    def compare(f: np.ndarray, budget: int) -> None:
-        """All key pairs of these node pairs, a bounded number at a time."""
+    def compare(f: np.ndarray) -> None:
+        """All key pairs of these node pairs, a bounded number at a time; of those, close ones link before wide ones."""
         width = f[:, 3] - f[:, 2]
         sizes = (f[:, 1] - f[:, 0]) * width
         total = np.concatenate(([0], np.cumsum(sizes)))
@@ -210,54 +213,52 @@ def trie_forest(
             off = np.zeros(len(i), np.int64)
             for w in range(keys.shape[1]):
                 off += np.bitwise_count(keys[i, w] ^ keys[j, w])
-            near = off <= budget
-            i, j = i[near], j[near]
-            if emit is None:
-                forest.union(i, j)
+            near = off <= most
+            i, j, off = i[near], j[near], off[near]
+            if wide is not None:
+                chunks = range(0, len(i), 1 << 15)
+                off = np.concatenate([np.zeros(0, np.int64), *(np.bitwise_count(wide[i[c : c + (1 << 15)]] ^ wide[j[c : c + (1 << 15)]]).sum(axis=1, dtype=np.int64) for c in chunks)])
+            if emit is not None:
+                emit(i[off <= levels[-1]], j[off <= levels[-1]])
                 continue
-            for c in range(0, len(i), 1 << 15):
-                x, y = i[c : c + (1 << 15)], j[c : c + (1 << 15)]
-                if wide is not None:
-                    close = np.bitwise_count(wide[x] ^ wide[y]).sum(axis=1, dtype=np.int64) <= wide_budget
-                    x, y = x[close], y[close]
-                emit(x, y)
-
-    def walk(budget: int) -> None:
-        stack = [(0, np.column_stack((ranges, np.zeros(len(ranges), np.int64))))] if len(ranges) else []
-        while stack:
-            depth, f = stack.pop()
-            done = forest.one(f[:, 0], f[:, 1]) & forest.one(f[:, 2], f[:, 3]) & (forest.label[f[:, 0]] == forest.label[f[:, 2]])
-            f = f[~done]
-            small = ((f[:, 1] - f[:, 0]) * (f[:, 3] - f[:, 2]) <= leaf) | (depth == 64 * keys.shape[1])
-            compare(f[small], budget)
-            f = f[~small]
-            if not len(f):
-                continue
-            c = ones(depth)
-            mid_a, mid_b = f[:, 1] - (c[f[:, 1]] - c[f[:, 0]]), f[:, 3] - (c[f[:, 3]] - c[f[:, 2]])
-            same = (f[:, 0] == f[:, 2]) & (f[:, 1] == f[:, 3])
-            pieces = []
-            for a, b in ((0, 1), (1, 0), (1, 1), (0, 0)):
-                child = f.copy()
-                child[:, 0 if a else 1] = mid_a
-                child[:, 2 if b else 3] = mid_b
-                child[:, 4] += a != b
-                keep = (child[:, 0] < child[:, 1]) & (child[:, 2] < child[:, 3]) & (child[:, 4] <= budget)
-                if (a, b) == (1, 0):
-                    keep &= ~same
-                pieces.append(child[keep])
-            children = np.concatenate(pieces)
-            children = children[np.argsort((children[:, 0] == children[:, 2]).astype(np.int8), kind="stable")]
-            for at in range(0, len(children), _PAIRS // 4):
-                stack.append((depth + 1, children[at : at + _PAIRS // 4]))
-
-    for step in [budget] if isinstance(budget, int) else budget:
-        walk(step)
+            for level in levels:
+                forest.union(i[off <= level], j[off <= level])
+
+    stack = [(0, np.column_stack((ranges, np.zeros(len(ranges), np.int64))))] if len(ranges) else []
+    while stack:
+        depth, f = stack.pop()
+        done = forest.one(f[:, 0], f[:, 1]) & forest.one(f[:, 2], f[:, 3]) & (forest.label[f[:, 0]] == forest.label[f[:, 2]])
+        f = f[~done]
+        small = ((f[:, 1] - f[:, 0]) * (f[:, 3] - f[:, 2]) <= leaf) | (depth == 64 * keys.shape[1])
+        compare(f[small])
+        f = f[~small]
+        if not len(f):
+            continue
+        c = ones(depth)
+        mid_a, mid_b = f[:, 1] - (c[f[:, 1]] - c[f[:, 0]]), f[:, 3] - (c[f[:, 3]] - c[f[:, 2]])
+        same = (f[:, 0] == f[:, 2]) & (f[:, 1] == f[:, 3])
+        pieces = []
+        for a, b in ((0, 1), (1, 0), (1, 1), (0, 0)):
+            child = f.copy()
+            child[:, 0 if a else 1] = mid_a
+            child[:, 2 if b else 3] = mid_b
+            child[:, 4] += a != b
+            keep = (child[:, 0] < child[:, 1]) & (child[:, 2] < child[:, 3]) & (child[:, 4] <= most)
+            if (a, b) == (1, 0):
+                keep &= ~same
+            pieces.append(child[keep])
+        children = np.concatenate(pieces)
+        children = children[np.argsort((children[:, 0] == children[:, 2]).astype(np.int8), kind="stable")]
+        for at in range(0, len(children), _PAIRS // 4):
+            stack.append((depth + 1, children[at : at + _PAIRS // 4]))
     return forest.label
 
 
-def _joined(items: DataFrame, n_words: int, budget: int | tuple[int, ...], batch_rows: int, every: bool, wide_budget: int) -> DataFrame:
-    """(a, b) near pairs of representatives: those that span the components of parts within each item, or every one across parts."""
+def _joined(items: DataFrame, n_words: int, budget: int | tuple[int, ...], batch_rows: int, every: bool, wide_budget: int | tuple[int, ...], bands: list[list[int]]) -> DataFrame:
+    """(a, b) near pairs of representatives: those that span the components of parts within each item, or every one across parts.
+
+    Of the bands in which a pair agrees only the first tells of it where every pair is wanted.
+    """
     carried = _carried(items)
 
     def links(rows: pa.Table):
@@ -278,7 +279,17 @@ def _joined(items: DataFrame, n_words: int, budget: int | tuple[int, ...], batch
         parts, wide = column("part"), column("wide")
         wide = None if wide is None else np.frombuffer(b"".join(wide.to_pylist()), np.uint64).reshape(len(rep), -1)
         found = [np.empty((0, 2), np.int64)]
-        take = lambda i, j: found.append(np.column_stack((rep[i], rep[j])))
+
+        def take(i, j):
+            if every and len(i):
+                bits = np.unpackbits((keys[i] ^ keys[j]).astype(">u8").view(np.uint8), axis=1)
+                for b, band in enumerate(bands[:-1]):
+                    later = item[i, 0] > b
+                    if later.any():
+                        stays = ~(later & ~bits[:, band].any(axis=1))
+                        i, j, bits = i[stays], j[stays], bits[stays]
+            found.append(np.column_stack((rep[i], rep[j])))
+
         trie_forest(keys, ranges, budget, parts=None if parts is None else parts.to_numpy(), wide=wide, wide_budget=wide_budget, **{"emit" if every else "spans": take})
         pairs = np.unique(np.sort(np.concatenate(found), axis=1), axis=0)
         return pa.RecordBatch.from_arrays([pa.array(pairs[:, 1]), pa.array(pairs[:, 0])], names=["a", "b"])
@@ -328,13 +339,13 @@ def _taken_apart(items: DataFrame, budget: int, n_words: int) -> DataFrame:
 
 def near_links(
     classes: DataFrame, budget: int | tuple[int, ...], bands: list[list[int]], n_words: int, cell_limit: int = 100_000, batch_rows: int = 100_000,
-    every: bool = False, wide_budget: int = 0,
+    every: bool = False, wide_budget: int | tuple[int, ...] = 0,
 ) -> DataFrame:
     """Near pairs (a, b) of representatives, the larger first, that span every component of fingerprints within ``budget`` bits.
 
     ``classes`` holds different fingerprints: (fp binary, rep long). With a column part (long), fingerprints may repeat, and rows of one
-    part count as linked. With ``every``, all near pairs across parts come, or of those the ones whose column ``wide`` differs in at most
-    ``wide_budget`` bits. Pairs may repeat. Of several rising budgets the last one counts, and the others make close pairs come first.
+    part count as linked. With a column wide (binary), pairs must be within ``wide_budget`` bits of that too. With ``every``, all such pairs
+    across parts come, once each if no cell is hot. Of several rising budgets the last one counts, and the others make close pairs come first.
     """
     most = budget if isinstance(budget, int) else max(budget)
     zero = F.lit(0).cast("long")
@@ -345,7 +356,7 @@ def near_links(
         hot = materialize(hot, "hot")
         depth_left = not hot.isEmpty() and hot.first()["depth"] < 64 * n_words
         calm = items.join(hot, ITEM, "left_anti") if depth_left else items
-        parts.append(_joined(calm.repartition(*ITEM).sortWithinPartitions(*ITEM, "side"), n_words, budget, batch_rows, every, wide_budget))
+        parts.append(_joined(calm.repartition(*ITEM).sortWithinPartitions(*ITEM, "side"), n_words, budget, batch_rows, every, wide_budget, bands))
         if not depth_left:
             break
         items = materialize(_taken_apart(items.join(hot, ITEM, "left_semi"), most, n_words), "apart")
@@ -387,7 +398,7 @@ def near_duplicates(
 #: over three deviations above 0.8; smaller ones go first, so that likely links are proposed before unlikely ones.
 SIMILAR = {"shingle_words": 5, "n_words": 4, "budget": (24, 36, 46, 58)}
 #: A longer fingerprint, for groups that the first proposals leave torn: of 2048 bits 310 (16) differ at 0.8, 393 at 0.7.
-WIDE_WORDS, WIDE_BUDGET = 32, 366
+WIDE_WORDS, WIDE_BUDGET = 32, (270, 290, 310, 330, 366)
 #: Share of bits that differ at 0.8, and how many bands are expected to agree there.
 DIFFER, AGREEING = 0.151, 9
 
@@ -405,11 +416,13 @@ SMALL_SET = 8
 
 
 def shingle_set(text: bytes | None, shingle_words: int = 5) -> np.ndarray:
-    """Sorted 64-bit hashes of the different shingles; words and short texts as in ``fingerprint``. Empty without words."""
+    """Sorted 64-bit hashes of the different shingles, made of the hashes of their words; words and short texts as in ``fingerprint``.
+
+    Empty without words.
+    """
     words = (text or b"").lower().split()
-    k = min(shingle_words, len(words))
-    digest = xxhash.xxh64_intdigest
-    return np.unique(np.fromiter((digest(b" ".join(words[i : i + k]), SEED) for i in range(len(words) - k + 1 if k else 0)), np.uint64))
+    hashes = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
+    return np.unique(window_hashes(hashes, min(shingle_words, len(words)))) if words else hashes
 
 
 def set_fingerprint(hashes: np.ndarray, n_words: int = 4) -> bytes:
@@ -521,11 +534,13 @@ def similar_groups(
         open_ = materialize(in_parts(nodes.select("fp", "rep", "digest", "id"), roots).join(parts, "part", "left_semi").select("fp", "rep", "part", "digest", "id"), "open")
         sketches = _sets(texts.join(open_.select("id").distinct(), "id", "left_semi"), shingle_words, WIDE_WORDS)
         rows = materialize(open_.join(sketches, "digest").dropDuplicates(["rep"]).select("fp", "rep", "part", "wide"), "wide")
-        most = budget if isinstance(budget, int) else max(budget)
-        left = near_links(rows, most, similar_bands(rows.count(), n_words), n_words, cell_limit, every=True, wide_budget=WIDE_BUDGET)
-        left = materialize(ordered(left).join(tried, ["a", "b"], "left_anti"), "left")
-        links = links.union(materialize(_verified(left, classes, texts, shingle_words), "verified"))
-        roots = component_roots(links, "a", "b")
+        wide_bands = similar_bands(rows.count(), n_words)
+        for every in (False, True):  # what spans by the longer fingerprint first; then all pairs that are left across parts
+            left = materialize(ordered(near_links(rows, budget, wide_bands, n_words, cell_limit, every=every, wide_budget=WIDE_BUDGET)).join(tried, ["a", "b"], "left_anti"), "left")
+            tried, links = tried.union(left), links.union(materialize(_verified(left, classes, texts, shingle_words), "verified"))
+            roots = component_roots(links, "a", "b")
+            if not every:
+                rows = materialize(in_parts(rows.drop("part"), roots).select("fp", "rep", "part", "wide"), "wide")
     named = materialize(classes.join(roots, classes["rep"] == roots["u"], "left").select("digest", "id", F.coalesce("root", "rep").alias("part")), "named")
     smallest = named.groupBy("part").agg(F.min("id").alias("component_id"))
     return prints.select("id", "digest").join(named.join(smallest, "part").select("digest", "component_id"), "digest").select("id", "component_id")
