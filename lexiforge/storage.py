@@ -10,6 +10,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
+#: Paths of the tables that this process has made for its own use.
+_made: list[str] = []
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -26,8 +28,26 @@ def shared_root(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    """A path in the shared folder that nothing uses yet."""
-    return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
+    """A path in the shared folder that nothing uses yet; ``release`` deletes what is there."""
+    if not _made:
+        atexit.register(_release_at_exit)
+    _made.append(f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}")
+    return _made[-1]
+
+
+def release(spark: SparkSession) -> int:
+    """Delete all intermediate tables made so far, once no result that reads them is needed any more; how many there were."""
+    path, count = spark._jvm.org.apache.hadoop.fs.Path, len(_made)
+    for made in _made:
+        path(made).getFileSystem(spark._jsc.hadoopConfiguration()).delete(path(made), True)
+    _made.clear()
+    return count
+
+
+def _release_at_exit() -> None:
+    spark = SparkSession.getActiveSession()
+    if spark is not None and spark.sparkContext._jsc is not None:
+        release(spark)
 
 
 def materialize(df: DataFrame, name: str = "stage", partition_by: list[str] | None = None) -> DataFrame:
