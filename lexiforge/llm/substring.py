@@ -1,9 +1,11 @@
 """Substring dedup: word windows that repeat across documents, found by level-wise doubling.
 
-Level one looks at windows of half the length. Only anchors are kept of these: the half-windows that are minimal, by hash, among those
-inside some full window, so equal full windows have equal anchors at equal places. Anchors that occur in one document alone are
-dropped; the windows around the others are extended to twice the length and judged whole. Between the two, a hash of everything that
-the windows of an anchor can cover settles long copies with one row for each anchor instead of one for each window.
+Windows of a quarter of the length come first, then of half of it, then whole ones, and each level looks only at what repeats at the one
+before. Below the full length only anchors are kept: of the half-windows inside a full window the one of the smallest hash, and inside
+that the quarter of the smallest hash, so equal full windows have equal anchors at equal places on every level. What stands in one
+document alone is dropped; the windows around the rest are extended to twice the length. Before the last level a hash of everything that the
+windows of an anchor can cover settles long copies with one row for each anchor instead of one for each window. No level comes behind
+the last, since words are removed where windows of the full length repeat, however far the copy goes on.
 """
 
 from __future__ import annotations
@@ -80,7 +82,7 @@ class _Words:
 
 def _anchors(words: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(place, first window, last window) of each anchor of a document, with the hashes of the half-windows."""
-    half = window // 2
+    half = max(1, window // 2)
     h = window_hashes(words, half)
     at = _minima(h, window - half + 1)
     cut = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
@@ -88,17 +90,22 @@ def _anchors(words: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np
     return at[cut], cut, last, h
 
 
-def _cover(words: np.ndarray, first: np.ndarray, last: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
-    """Two hashes of the words of windows first..last together, from sums of salted powers."""
-    out = []
-    for salt, odd in ((1, 0xD6E8FEB86659FD93), (2, 0xA0761D6478BD642F)):
-        w = _mix(words + np.uint64(salt))
-        powers = np.multiply.accumulate(np.concatenate(([np.uint64(1)], np.full(len(w), np.uint64(odd)))))
-        inverse = np.multiply.accumulate(np.concatenate(([np.uint64(1)], np.full(len(w), np.uint64(pow(odd, -1, 1 << 64))))))
-        sums = np.concatenate(([np.uint64(0)], np.cumsum(w * powers[:-1])))
-        end = last + window
-        out.append(_mix(((sums[end] - sums[first]) * inverse[first]) ^ _mix((end - first).astype(np.uint64))))
-    return out[0], out[1]
+def _quarters(words: np.ndarray, window: int, places: np.ndarray) -> np.ndarray:
+    """For the half-windows at ``places``, the hash of the quarter inside that is minimal by hash (half a half, rounded up)."""
+    half = max(1, window // 2)
+    q = window_hashes(words, (half + 1) // 2, 3)
+    return q[_minima(q, half - (half + 1) // 2 + 1)[places]]
+
+
+def _cover(words: np.ndarray, first: np.ndarray, last: np.ndarray, window: int) -> np.ndarray:
+    """A hash of the words of windows first..last together, from sums of salted powers."""
+    odd = 0xD6E8FEB86659FD93
+    w = _mix(words + np.uint64(1))
+    powers = np.multiply.accumulate(np.concatenate(([np.uint64(1)], np.full(len(w), np.uint64(odd)))))
+    inverse = np.multiply.accumulate(np.concatenate(([np.uint64(1)], np.full(len(w), np.uint64(pow(odd, -1, 1 << 64))))))
+    sums = np.concatenate(([np.uint64(0)], np.cumsum(w * powers[:-1])))
+    end = last + window
+    return _mix(((sums[end] - sums[first]) * inverse[first]) ^ _mix((end - first).astype(np.uint64)))
 
 
 def _signed(x: np.ndarray) -> pa.Array:
@@ -107,7 +114,8 @@ def _signed(x: np.ndarray) -> pa.Array:
 
 
 def anchor_table(docs: DataFrame, window: int) -> DataFrame:
-    """(id, th, place, h, c1, c2): each anchor with the hash of its half-window and of all its windows together."""
+    """(id, th, place, q, h, c): each anchor with the hashes of its quarter, of its half-window and of all its windows together."""
+    names = ["id", "th", "place", "q", "h", "c"]
 
     def run(batches: Iterator[pa.RecordBatch]):
         hashes = _Words()
@@ -119,14 +127,13 @@ def anchor_table(docs: DataFrame, window: int) -> DataFrame:
                     continue
                 w = hashes(words)
                 at, first, last, h = _anchors(w, window)
-                c1, c2 = _cover(w, first, last, window)
-                for column, x in zip(out, (np.full(len(at), doc_id), np.full(len(at), th), at, h[at], c1, c2)):
+                for column, x in zip(out, (np.full(len(at), doc_id), np.full(len(at), th), at, _quarters(w, window, at), h[at], _cover(w, first, last, window))):
                     column.append(x)
             if out[0]:
-                ids, th, at, h, c1, c2 = (np.concatenate(x) for x in out)
-                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(th), pa.array(at.astype(np.int32)), _signed(h), _signed(c1), _signed(c2)], names=["id", "th", "place", "h", "c1", "c2"])
+                ids, th, at, q, h, c = (np.concatenate(x) for x in out)
+                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(th), pa.array(at.astype(np.int32)), _signed(q), _signed(h), _signed(c)], names=names)
 
-    return docs.select("id", "th", "t").mapInArrow(run, "id long, th long, place int, h long, c1 long, c2 long")
+    return docs.select("id", "th", "t").mapInArrow(run, "id long, th long, place int, q long, h long, c long")
 
 
 def _window_table(docs: DataFrame, window: int) -> DataFrame:
@@ -190,17 +197,21 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(F.col(text_col).cast("string")).alias("th"), F.col(text_col).cast("string").alias("t"))  # th tells apart rows that repeat an id
     anchors = materialize(anchor_table(texts, window), "anchors")
-    # Level one: half-windows in more than one document. first_h is the smallest document of each.
-    # Each aggregate is written out, so that the join behind it meets two plain exchanges and its hot keys can be split.
-    by_half = materialize(anchors.groupBy("h").agg(F.min("id").alias("first_h"), F.max("id").alias("last_h")).where("first_h < last_h").select("h", "first_h"), "halves")
-    shared = materialize(anchors.join(by_half, "h"), "shared")
-    by_cover = materialize(shared.groupBy("h", "c1", "c2").agg(F.min("id").alias("first_c"), F.min("first_h").alias("first_h")), "covers")
+    # A level keeps what stands in more than one document. first_<level> is the smallest of them. Each aggregate is written out,
+    # so that the join behind it meets two plain exchanges and its hot keys can be split.
+    alive = anchors
+    for level in ("q", "h"):
+        repeated = alive.groupBy(level).agg(F.min("id").alias(f"first_{level}"), F.max("id").alias("last")).where(F.col(f"first_{level}") < F.col("last")).drop("last")
+        alive = alive.drop("first_q").join(materialize(repeated, f"level_{level}"), level)
+        alive = materialize(alive.drop("q", "first_q") if level == "h" else alive, f"alive_{level}")
+    by_cover = materialize(alive.groupBy("h", "c").agg(F.min("id").alias("first_c"), F.min("first_h").alias("first_h")), "covers")
     # An anchor is settled where its whole cover is in a smaller document. If every cover of a half-window starts in its smallest
     # document, no window of it is left to judge.
     unsettled = materialize(by_cover.where("first_c > first_h").select("h").distinct(), "unsettled")
-    settled = shared.join(by_cover.drop("first_h"), ["h", "c1", "c2"]).where("first_c < id").select("id", "th", "place")
-    # Level two: full windows of the anchors that are left, one document for each different cover.
-    open_places = shared.join(by_cover.drop("first_h"), ["h", "c1", "c2"]).where("first_c = id").join(unsettled, "h", "left_semi").groupBy("id", "th").agg(F.collect_set("place").alias("open"))
+    judged = alive.drop("first_h").join(by_cover.drop("first_h"), ["h", "c"])
+    settled = judged.where("first_c < id").select("id", "th", "place")
+    # The last level: full windows of the anchors that are left, one document for each different cover.
+    open_places = judged.where("first_c = id").join(unsettled, "h", "left_semi").groupBy("id", "th").agg(F.collect_set("place").alias("open"))
     windows = materialize(_window_table(texts.join(open_places, ["id", "th"]).select("id", "th", "t", "open"), window), "windows")
     by_window = materialize(windows.groupBy("k1", "k2").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last").select("k1", "k2", F.col("first").alias("least")), "repeats")
     repeated = windows.join(by_window, ["k1", "k2"]).where("least < id").groupBy("id", "th").agg(F.collect_set("first").alias("windows"))
