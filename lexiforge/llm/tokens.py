@@ -15,7 +15,7 @@ from public_tokenizers import PATTERN
 _SPACE_AFTER_SPACE = re.compile(r"\s ")
 _CUT = re.compile(r"(?<=\S)(?= )")
 #: Bytes that a cache holds in each of its two generations, about.
-CACHE_BYTES = 48 << 20
+CACHE_BYTES = 128 << 20
 
 
 def pieces(text: str) -> list[str]:
@@ -102,9 +102,9 @@ class BytePairEncoder:
         whole = self.ranks.get(data)
         if whole is not None:
             return [whole]
-        n, rank_of, low, bit, first = len(data), self.pairs, self.low, self.bit, self.first
-        part = [self.byte[x] for x in data]
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        n, rank_of, low, bit, first = len(data), self.pairs.get, self.low, self.bit, self.first
+        part = [*map(self.byte.__getitem__, data)]
+        after, before = [*range(1, n + 1)], [*range(-1, n - 1)]
         pair = [first[a << 8 | b] for a, b in zip(data, data[1:])]
         pair.append(-1)
         buckets: dict[int, int | list[int]] = {}  # one position, or a heap of them
@@ -141,30 +141,34 @@ class BytePairEncoder:
             part[i] = rank
             part[j] = pair[j] = -1
             k = after[i] = after[j]
-            made = [i] if k < n else []
-            if made:
+            if k < n:
                 before[k] = i
-                pair[i] = rank_of.get(rank << 20 | part[k], -1)
+                new = pair[i] = rank_of(rank << 20 | part[k], -1)
+                if new >= 0:
+                    if new not in buckets:
+                        buckets[new] = i
+                        low[new >> 8] |= bit[new & 255]
+                        top |= bit[new >> 8]
+                    elif type(held := buckets[new]) is int:
+                        buckets[new] = [held, i] if held < i else [i, held]
+                    else:
+                        heapq.heappush(held, i)
             else:
                 pair[i] = -1
             h = before[i]
             if h >= 0:
-                new = rank_of.get(part[h] << 20 | rank, -1)
+                new = rank_of(part[h] << 20 | rank, -1)
                 if new != pair[h]:
                     pair[h] = new
-                    made.append(h)
-            for i in made:
-                new = pair[i]
-                if new < 0:
-                    continue
-                if new not in buckets:
-                    buckets[new] = i
-                    low[new >> 8] |= bit[new & 255]
-                    top |= bit[new >> 8]
-                elif type(held := buckets[new]) is int:
-                    buckets[new] = [held, i] if held < i else [i, held]
-                else:
-                    heapq.heappush(held, i)
+                    if new >= 0:
+                        if new not in buckets:
+                            buckets[new] = h
+                            low[new >> 8] |= bit[new & 255]
+                            top |= bit[new >> 8]
+                        elif type(held := buckets[new]) is int:
+                            buckets[new] = [held, h] if held < h else [h, held]
+                        else:
+                            heapq.heappush(held, h)
         return [x for x in part if x >= 0]
 
     def _match(self, match: str) -> bytes:
