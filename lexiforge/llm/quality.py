@@ -1,6 +1,6 @@
 """Document quality by attention-based multiple-instance learning.
 
-A document is a bag of passages. Each passage is encoded from whole-passage statistics and hashed words through a learned layer; gated attention
+A document is a bag of passages. Each passage is encoded from whole-passage statistics through a learned layer; gated attention
 gives every passage a weight; the weighted sum of the encodings gives the score. All weights are learned from document labels alone,
 on the driver, from a bounded sample; scoring is one pass over the text without a shuffle.
 """
@@ -20,8 +20,6 @@ PASSAGE_WORDS = 48
 TRAINING_DOCS, TRAINING_BYTES = 4000, 1 << 20
 THRESHOLD = 0.3
 
-#: Places that the words of a passage are hashed to.
-HASHED = 64
 #: Bytes that are looked at together, about. Passages do not depend on it: a longer text is cut only where a passage ends.
 BLOCK = 1 << 18
 _SPACE = np.zeros(256, bool)
@@ -38,8 +36,7 @@ _EVEN = np.uint64(pow(int(_ODD), -1, 1 << 64))
 class PassageEncoder:
     """Statistics of each passage of texts, over whole blocks of bytes at once."""
 
-    statistics = 22
-    width = statistics + HASHED
+    width = 22
 
     def __init__(self):
         self._power = self._inverse = np.zeros(0, np.uint64)
@@ -156,9 +153,6 @@ class PassageEncoder:
         x[:, 17] = (x[:, 6] == 0) & (size > 40)
         x[:, 18] = x[:, 3] > 0.5 * x[:, 2]
         x[:, 19] = x[:, 5] > 0.3
-        place = ((word * _EVEN) >> np.uint64(40)).astype(np.int64) % HASHED
-        hits = np.bincount(passage * HASHED + place, minlength=len(starts) * HASHED).reshape(-1, HASHED)
-        x[:, self.statistics :] = hits / size[:, None]
         return x, counts
 
 
