@@ -85,17 +85,23 @@ def json_texts(spark: SparkSession, path: str, least: int = 11) -> DataFrame:
     return df.select(first_text(df).alias("text")).where((F.length(pystrip(F.col("text"))) >= least) & (F.length("text") >= least))
 
 
-def arrow_folders(spark: SparkSession, root: str) -> list[str]:
-    """Folders below ``root`` that hold a dataset in Arrow files: dataset_info.json, state.json and an .arrow file side by side."""
-    names = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select(F.regexp_extract("path", r"^(.*)/[^/]*$", 1).alias("folder"), F.substring_index("path", "/", -1).alias("name"))
-    marks = names.groupBy("folder").agg(F.count_if(F.col("name") == "dataset_info.json").alias("i"), F.count_if(F.col("name") == "state.json").alias("s"), F.count_if(F.col("name").endswith(".arrow")).alias("a"))
-    return sorted(r["folder"] for r in marks.where("i > 0 and s > 0 and a > 0").collect())  # a catalogue of folders
+def arrow_folders(spark: SparkSession, root: str) -> dict[str, str]:
+    """Folders below ``root`` that hold a dataset in Arrow files: dataset_info.json, state.json and an .arrow file side by side.
+
+    Each with its name as file metadata write it. A catalogue of folders.
+    """
+    folder = lambda c: F.regexp_extract(c, r"^(.*)/[^/]*$", 1)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    names = files.select(folder("path").alias("folder"), folder("_metadata.file_path").alias("shown"), F.substring_index("path", "/", -1).alias("name"))
+    marks = names.groupBy("folder", "shown").agg(F.count_if(F.col("name") == "dataset_info.json").alias("i"), F.count_if(F.col("name") == "state.json").alias("s"), F.count_if(F.col("name").endswith(".arrow")).alias("a"))
+    return {r["folder"]: r["shown"] for r in marks.where("i > 0 and s > 0 and a > 0").collect()}
 
 
 def tree_texts(spark: SparkSession, root: str) -> DataFrame:
     """All Parquet and JSON-lines files below a folder, and its Arrow datasets; other files inside those are theirs and not read."""
-    folders = arrow_folders(spark, root)
-    inside = lambda c: c.rlike("^(" + "|".join(r"\\Q" + f + r"\\E/" for f in folders) + ")") if folders else F.lit(False)
+    folders, outside = arrow_folders(spark, root), F.lit(True)
+    for shown in folders.values():
+        outside = outside & ~F.col("_metadata.file_path").startswith(shown + "/")
     parts = []
     for kind in ("parquet", "jsonl"):
         scan = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", f"*.{kind}")
@@ -105,7 +111,7 @@ def tree_texts(spark: SparkSession, root: str) -> DataFrame:
             if "UNABLE_TO_INFER_SCHEMA" in str(x) or "PATH_NOT_FOUND" in str(x):
                 continue
             raise
-        parts.append(df.where(~inside(F.col("_metadata.file_path"))).select(first_text(df).alias("text")).where("text is not null and text <> ''"))
+        parts.append(df.where(outside).select(first_text(df).alias("text")).where("text is not null and text <> ''"))
     parts += [arrow_texts(spark, f"{f}/*.arrow") for f in folders]
     out = parts[0] if parts else spark.createDataFrame([], "text string")
     for part in parts[1:]:
