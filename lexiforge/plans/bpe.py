@@ -9,8 +9,10 @@ from __future__ import annotations
 import heapq
 import json
 from collections import defaultdict
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
+import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,7 +20,7 @@ from lexiforge.functions.text import codepoints
 from lexiforge.operators.counts import conflict_free, text_counts, top_pairs
 from lexiforge.operators.sampling import adaptive_min_frequency
 from lexiforge.plans import resume
-from lexiforge.plans.merging import apply_merges
+from lexiforge.plans.merging import apply_merges, rewritten
 from lexiforge.storage import materialize
 
 #: Ids of merged tokens begin behind the code points.
@@ -130,63 +132,94 @@ def train(
 
 
 class WordTrainer:
-    """One merge at a time over (symbols, count) words, with an index from pairs to the words that hold them."""
-
-    def __init__(self, words: list[tuple[tuple[str, ...], int]]):
-        self.words = [list(w) for w, _ in words]
-        self.weight = [c for _, c in words]
-        self.count: dict[tuple[str, str], int] = defaultdict(int)
-        self.where: dict[tuple[str, str], set[int]] = defaultdict(set)
-        for k, w in enumerate(self.words):
-            for pair in zip(w, w[1:]):
-                self.count[pair] += self.weight[k]
-                self.where[pair].add(k)
+    """One merge at a time over (symbols, count) words, with an index from pairs to the words that hold them.
+
+    All words lie in one array, each at a place of its own; a merge gathers the words that its pair's index lists, rewrites them together and
+    counts only the pairs that this changes.
+    """
+
+    def __init__(self, words: list[tuple[Sequence[str], int]]):
+        size = np.array([len(w) for w, _ in words], np.int64)
+        self.names = sorted({s for w, _ in words for s in w})
+        at = {s: k for k, s in enumerate(self.names)}
+        self.symbols = np.fromiter((at[s] for w, _ in words for s in w), np.int64, int(size.sum()))
+        self.start, self.size = np.cumsum(size) - size, size
+        self.weight = np.array([c for _, c in words], np.int64)
+
+    def _gathered(self, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Symbols of the chosen words, and where each begins and the last ends."""
+        size = self.size[chosen]
+        offsets = np.concatenate(([0], np.cumsum(size)))
+        return self.symbols[np.repeat(self.start[chosen] - offsets[:-1], size) + np.arange(offsets[-1])], offsets
+
+    @staticmethod
+    def _pairs(values: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(key, number of the word) of each adjacent pair inside a word."""
+        word = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+        inside = word[1:] == word[:-1]
+        return ((values[:-1] << 32) | values[1:])[inside], word[1:][inside]
 
     def run(self, vocab_size: int, min_frequency: int = 2, alphabet: list[str] | None = None) -> tuple[list[str], list[tuple[str, str, int]]]:
         """(tokens by id, merges with their counts); of equal counts the pair with the smaller ids is first."""
-        tokens = list(dict.fromkeys([*(alphabet or []), *sorted({s for w in self.words for s in w})]))
+        tokens = list(dict.fromkeys([*(alphabet or []), *self.names]))
         ids = {t: k for k, t in enumerate(tokens)}
-        heap = [(-c, ids[a], ids[b], (a, b)) for (a, b), c in self.count.items()]
+        self.symbols = np.array([ids[t] for t in self.names], np.int64)[self.symbols] if self.names else self.symbols
+        where: dict[int, list[np.ndarray]] = defaultdict(list)
+        count: dict[int, int] = {}
+
+        def listed(keys: np.ndarray, words: np.ndarray) -> None:
+            order = np.argsort(keys, kind="stable")
+            keys, words = keys[order], words[order]
+            cuts = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else []
+            for key, part in zip(keys[cuts].tolist(), np.split(words, cuts[1:])) if len(keys) else ():
+                where[key].append(part)
+
+        def changed(keys: np.ndarray, weights: np.ndarray) -> list[int]:
+            each, back = np.unique(keys, return_inverse=True)
+            by = np.zeros(len(each), np.int64)
+            np.add.at(by, back, weights)
+            moved = each[by != 0].tolist()
+            for key, n in zip(moved, by[by != 0].tolist()):
+                count[key] = count.get(key, 0) + n
+            return moved
+
+        keys, words = self._pairs(*self._gathered(np.arange(len(self.size))))
+        listed(keys, words)
+        entry = lambda key: (-count[key], key >> 32, key & 0xFFFFFFFF)
+        heap = [entry(key) for key in changed(keys, self.weight[words]) if count[key] > 0]
         heapq.heapify(heap)
         merges = []
         while heap and len(tokens) < vocab_size:
-            negative, _, _, pair = heapq.heappop(heap)
-            now = self.count.get(pair, 0)
+            negative, left, right = heapq.heappop(heap)
+            key = left << 32 | right
+            now = count.get(key, 0)
             if -negative != now:
                 if 0 < now < -negative:
-                    heapq.heappush(heap, (-now, ids[pair[0]], ids[pair[1]], pair))
+                    heapq.heappush(heap, entry(key))
                 continue
             if now < max(1, min_frequency):
                 break
-            new = pair[0] + pair[1]
-            if new not in ids:
-                ids[new] = len(tokens)
-                tokens.append(new)
-            merges.append((*pair, now))
-            touched = set()
-            for k in list(self.where[pair]):
-                old = self.words[k]
-                made, i = [], 0
-                while i < len(old):
-                    if i + 1 < len(old) and (old[i], old[i + 1]) == pair:
-                        made.append(new)
-                        i += 2
-                    else:
-                        made.append(old[i])
-                        i += 1
-                for p in zip(old, old[1:]):
-                    self.count[p] -= self.weight[k]
-                    self.where[p].discard(k)
-                    touched.add(p)
-                for p in zip(made, made[1:]):
-                    self.count[p] += self.weight[k]
-                    self.where[p].add(k)
-                    touched.add(p)
-                self.words[k] = made
-            self.count.pop(pair, None)
-            for p in touched - {pair}:
-                if self.count.get(p, 0) > 0:
-                    heapq.heappush(heap, (-self.count[p], ids[p[0]], ids[p[1]], p))
+            text = tokens[left] + tokens[right]
+            new = ids.setdefault(text, len(tokens))
+            if new == len(tokens):
+                tokens.append(text)
+            merges.append((tokens[left], tokens[right], now))
+            chosen = np.unique(np.concatenate(where.pop(key)))
+            old, offsets = self._gathered(chosen)
+            made, behind = rewritten(old, offsets, np.array([left]), np.array([right]), np.array([new]))
+            shorter = np.diff(behind) < np.diff(offsets)
+            old_keys, old_words = self._pairs(old, offsets)
+            new_keys, new_words = self._pairs(made, behind)
+            old_keys, old_words = old_keys[shorter[old_words]], chosen[old_words[shorter[old_words]]]
+            new_keys, new_words = new_keys[shorter[new_words]], chosen[new_words[shorter[new_words]]]
+            self.size[chosen] = np.diff(behind)
+            self.symbols[np.repeat(self.start[chosen] - behind[:-1], np.diff(behind)) + np.arange(behind[-1])] = made
+            fresh = ((new_keys >> 32) == new) | ((new_keys & 0xFFFFFFFF) == new)
+            listed(new_keys[fresh], new_words[fresh])
+            for k in changed(np.concatenate((old_keys, new_keys)), np.concatenate((-self.weight[old_words], self.weight[new_words]))):
+                if k != key and count[k] > 0:
+                    heapq.heappush(heap, entry(k))
+            count.pop(key, None)
         return tokens, merges
 
 
@@ -197,7 +230,7 @@ def train_words(words: DataFrame, vocab_size: int, min_frequency: int = 2, speci
     if len(rows) > driver_limit:
         raise ValueError(f"over {driver_limit} different words: use the distributed rounds of train()")
     special = list(dict.fromkeys(specials or []))
-    tokens, merges = WordTrainer([(tuple(r["token"]), r["count"]) for r in rows]).run(vocab_size - len(special), min_frequency)
+    tokens, merges = WordTrainer([(r["token"], r["count"]) for r in rows]).run(vocab_size - len(special), min_frequency)
     return special + tokens, merges
 
 
