@@ -16,16 +16,15 @@ def whitespace_tokens(t: Column) -> Column:
 def sample_metrics(samples: DataFrame, tokens: str, text: str, vocab_chars: Column | None = None) -> DataFrame:
     """A10: per-sample columns added to ``samples``; texts without tokens are dropped."""
     n, chars = F.size(tokens), F.length(text)
-    lengths = F.transform(tokens, lambda x: F.length(x))
-    mean = F.aggregate(lengths, F.lit(0).cast("long"), lambda a, x: a + x) / n
-    squares = F.aggregate(lengths, F.lit(0.0), lambda a, x: a + F.pow(x - mean, F.lit(2)))
+    total = lambda f: F.aggregate(tokens, F.lit(0).cast("long"), lambda a, x: a + f(F.length(x).cast("long"))) / n
+    mean, squares = total(lambda k: k), total(lambda k: k * k)
     covered = F.lit(1.0)
     if vocab_chars is not None:
         own = F.array_distinct(F.split(text, ""))
         covered = F.size(F.array_intersect(own, vocab_chars)) / F.size(own)
     return samples.where((F.size(tokens) > 0) & (F.length(text) > 0)).withColumns({
         "n_tokens": n.cast("long"), "n_chars_": chars.cast("long"), "tokens_per_char": n / chars, "coverage": covered,
-        "mean_token_length": mean, "std_token_length": F.sqrt(squares / n), "unique_tokens": F.size(F.array_distinct(tokens)).cast("long"),
+        "mean_token_length": mean, "std_token_length": F.sqrt(F.greatest(squares - mean * mean, F.lit(0.0))), "unique_tokens": F.size(F.array_distinct(tokens)).cast("long"),
     })
 
 

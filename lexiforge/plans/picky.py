@@ -36,17 +36,19 @@ def train(seqs: DataFrame, steps: int, threshold: float = 0.9, mode: str = "as_i
         done.vocab[text(r["s"])] = r["count"]
     for step in range(steps):
         n = F.size("seq")
-        zipped = F.array_distinct(F.arrays_zip(F.slice("seq", 1, n - 1).alias("a"), F.slice("seq", 2, n - 1).alias("b")))
-        best = now.where(n > 1).select(F.explode(zipped).alias("p")).groupBy("p.a", "p.b").agg(F.count("*").alias("df")).orderBy(F.desc("df"), "a", "b").first()
+        # A pair is one long: of longs Spark finds the different ones by hash, of structs by comparing each with each.
+        packed = F.zip_with(F.slice("seq", 1, n - 1), F.slice("seq", 2, n - 1), lambda a, b: F.shiftleft(a.cast("long"), 32) + b)
+        found = now.where(n > 1).select(F.explode(F.array_distinct(packed)).alias("p")).groupBy("p").agg(F.count("*").alias("df"))
+        best = found.select(F.shiftright("p", 32).cast("int").alias("a"), F.col("p").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int").alias("b"), "df").orderBy(F.desc("df"), "a", "b").first()
         if best is None or best["df"] < min_df:
             break
         a, b = best["a"], best["b"]
-        count_of = lambda df, symbols: {r["s"]: r["count"] for r in df.select(F.explode("seq").alias("s")).where(F.col("s").isin(symbols)).groupBy("s").count().collect()}
+        count_of = lambda df, symbols: dict(zip(symbols, df.agg(*[F.coalesce(F.sum(F.size(F.filter("seq", lambda x, s=s: x == s))), F.lit(0)).alias(f"n{s}") for s in symbols]).first()))
         new = FIRST_MERGED + step
         names[new] = text(a) + text(b)
-        before = count_of(now, [a, b]) if mode == "paper" else {}
+        before = count_of(now, list({a, b})) if mode == "paper" else {}
         now = materialize(apply_merges(now, "seq", [(a, b, new)]), "picky")
-        after = count_of(now, [a, b, new])
+        after = count_of(now, list({a, b, new}))
         merged = after.get(new, 0)
         done.merges.append((text(a), text(b)))
         done.vocab[text(new)] = merged
