@@ -21,6 +21,10 @@ class Picked:
     events: list[tuple[int, str, str, str, str]] = field(default_factory=list)
 
 
+def _occurrences(symbol: int):
+    return F.coalesce(F.sum(F.size(F.filter("seq", lambda x: x == symbol))), F.lit(0)).alias(f"n{symbol}")
+
+
 def train(seqs: DataFrame, steps: int, threshold: float = 0.9, mode: str = "as_is", specials: tuple[str, ...] = (), min_df: int = 1) -> Picked:
     """B05 over (seq array<int>) rows.
 
@@ -43,7 +47,7 @@ def train(seqs: DataFrame, steps: int, threshold: float = 0.9, mode: str = "as_i
         if best is None or best["df"] < min_df:
             break
         a, b = best["a"], best["b"]
-        count_of = lambda df, symbols: dict(zip(symbols, df.agg(*[F.coalesce(F.sum(F.size(F.filter("seq", lambda x, s=s: x == s))), F.lit(0)).alias(f"n{s}") for s in symbols]).first()))
+        count_of = lambda df, symbols: dict(zip(symbols, df.agg(*map(_occurrences, symbols)).first()))
         new = FIRST_MERGED + step
         names[new] = text(a) + text(b)
         before = count_of(now, list({a, b})) if mode == "paper" else {}
