@@ -7,6 +7,7 @@ import functools
 import heapq
 import json
 import re
+import struct
 
 import numpy as np
 import regex
@@ -91,7 +92,8 @@ class BytePairEncoder:
         self.decimal = [str(k) for k in range(len(self.bytes_of))]
         self.find = regex.compile(pattern).findall
         #: Only of the public pattern is it known where a text may be cut.
-        self.cut = pieces if pattern == PATTERN else lambda text: [text] if text else []
+        self.words = pattern == PATTERN
+        self.cut = pieces if self.words else lambda text: [text] if text else []
         self.low = [0] * ((len(self.bytes_of) >> 8) + 1)
         self.bit = [1 << k for k in range(max(256, len(self.low)))]
         self.first = [self.pairs.get(self.byte[a] << 20 | self.byte[b], -1) for a in range(256) for b in range(256)]
@@ -172,9 +174,12 @@ class BytePairEncoder:
         return [x for x in part if x >= 0]
 
     def _match(self, match: str) -> bytes:
-        return np.array(self.merge(match.encode("utf-8")), "<u4").tobytes()
+        ids = self.merge(match.encode("utf-8"))
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def _piece(self, piece: str) -> bytes:
+        if self.words and piece.isascii() and piece.isalpha() or self.words and piece[:1] == " " and piece.isascii() and piece[1:].isalpha():
+            return self._match(piece)  # one match, as the pattern takes a word with the space before it
         found = self.find(piece)
         return self._match(piece) if len(found) == 1 else b"".join(map(self.of_match.__getitem__, found))
 
