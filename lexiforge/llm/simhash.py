@@ -5,6 +5,9 @@ there are more disjoint bands than errors), so each (band, cell) is the root of
 node pairs go down together, differing bits add up, and a pair of nodes is dropped once they exceed the budget or
 once both nodes already lie in one component. Cells over ``cell_limit`` rows are first taken apart by the same
 traversal as DataFrame steps, four bits at a time, so that no task holds an unbounded cell.
+
+``near_duplicates`` links by fingerprints alone. ``similar_groups`` takes fingerprints of the different shingles for proposals only and holds
+each against the shingle sets: edges that span a group first, which are no more than its rows, and pairs only where that leaves it torn.
 """
 
 from __future__ import annotations

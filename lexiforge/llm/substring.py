@@ -74,7 +74,7 @@ class _Words:
     """Word hashes of texts; remembers words, boundedly."""
 
     def __init__(self):
-        self.of = Generations(xxhash.xxh64_intdigest)
+        self.of = Generations(xxhash.xxh64_intdigest, 32 << 20)
 
     def __call__(self, words: list[bytes]) -> np.ndarray:
         return np.fromiter(map(self.of.__getitem__, words), np.uint64, len(words))
