@@ -7,7 +7,7 @@ once both nodes already lie in one component. Cells over ``cell_limit`` rows are
 traversal as DataFrame steps, four bits at a time, so that no task holds an unbounded cell.
 
 ``near_duplicates`` links by fingerprints alone. ``similar_groups`` takes fingerprints of the different shingles for proposals only and holds
-each against the shingle sets: edges that span a group first, which are no more than its rows, and pairs only where that leaves it torn.
+each against the shingle sets: edges that span a group first, at most as many as its rows in every band, and pairs only where that leaves it torn.
 """
 
 from __future__ import annotations
