@@ -32,11 +32,9 @@ def merged_counts(parts: DataFrame) -> DataFrame:
     return good.groupBy("seq").agg(F.sum("count").cast("long").alias("count"))
 
 
-def neighbours(chars: Column) -> Column:
-    """Adjacent pairs of a character array, as strings of two characters."""
-    n = F.size(chars)
-    pairs = F.zip_with(F.slice(chars, 1, n - 1), F.slice(chars, 2, n - 1), lambda a, b: F.concat(a, b))
-    return F.when(n > 1, pairs).otherwise(F.array().cast("array<string>"))
+def neighbours(text: Column) -> Column:
+    """Adjacent pairs of a text's characters, as strings of two characters: each match looks at two and takes one."""
+    return F.regexp_extract_all(text, F.lit("(?s)(?=(..))."), 1)
 
 
 def _as_codepoints(pairs: DataFrame, *rest: str) -> DataFrame:
@@ -45,13 +43,13 @@ def _as_codepoints(pairs: DataFrame, *rest: str) -> DataFrame:
 
 def weighted_pairs(counts: DataFrame) -> DataFrame:
     """(a, b, cnt) over (text, count); overlapping pairs all count."""
-    exploded = counts.select(F.explode(neighbours(characters(F.col("text")))).alias("pair"), "count")
+    exploded = counts.select(F.explode(neighbours(F.col("text"))).alias("pair"), "count")
     return _as_codepoints(exploded.groupBy("pair").agg(F.sum("count").cast("long").alias("cnt")), "cnt")
 
 
 def document_pairs(docs: DataFrame, text: str = "text") -> DataFrame:
     """(a, b, df): in how many texts each pair stands."""
-    exploded = docs.select(F.explode(F.array_distinct(neighbours(characters(F.col(text))))).alias("pair"))
+    exploded = docs.select(F.explode(F.array_distinct(neighbours(F.col(text)))).alias("pair"))
     return _as_codepoints(exploded.groupBy("pair").agg(F.count("*").alias("df")), "df")
 
 

@@ -107,3 +107,15 @@ def test_longest_matches_of_large_vocabularies(spark):
 
 def test_rules_of_thumb():
     assert [sampling.chunk_size(8000, u) for u in (0.5, 0.85, 0.95)] == [8000, 4000, 2000] and sampling.chunk_size(2000, 0.95) == 1000
+
+
+def test_pairs_of_wide_characters(spark):
+    from collections import Counter
+
+    from lexiforge.operators import counts
+
+    texts = ["a😀é😀\n😀", "😀", "", None, "日本퟿x", "aaa", "😀😀😀"]
+    got = {(chr(r.a), chr(r.b)): r.cnt for r in counts.weighted_pairs(spark.createDataFrame([(t, 2) for t in texts], "text string, count long")).collect()}
+    assert got == {k: 2 * v for k, v in Counter(p for t in texts if t for p in zip(t, t[1:])).items()}
+    got = {(chr(r.a), chr(r.b)): r.df for r in counts.document_pairs(spark.createDataFrame([(t,) for t in texts], "text string")).collect()}
+    assert got == Counter(p for t in texts if t for p in set(zip(t, t[1:])))
