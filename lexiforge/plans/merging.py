@@ -6,7 +6,26 @@ from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+#: Symbols that are worked on together; a longer sequence is a piece of its own.
+PIECE = 1 << 20
+BATCH_KEY, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 16 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Arrow batches end by their bytes and not only by their rows, unless the session says how."""
+    if spark.conf.get(BATCH_KEY, None) is None:
+        spark.conf.set(BATCH_KEY, str(BATCH_BYTES))
+
+
+def pieces(offsets: np.ndarray, most: int = PIECE):
+    """(first, behind the last) of runs of whole sequences that have at most ``most`` symbols together; a longer one is alone."""
+    first = 0
+    while first < len(offsets) - 1:
+        behind = max(first + 1, int(np.searchsorted(offsets, offsets[first] + most, "right")) - 1)
+        yield first, behind
+        first = behind
 
 
 def rewritten(values: np.ndarray, offsets: np.ndarray, left: np.ndarray, right: np.ndarray, new: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -187,3 +187,24 @@ def test_anomalies(spark):
     rows = [("x", 0.2)] * 9 + [("x", 0.9)] + [("same", 0.5)] * 4
     got = metrics.with_anomalies(spark.createDataFrame(rows, "g string, tokens_per_char double"), "g").collect()
     assert sum(r.anomaly for r in got) == 1 and max(r.z for r in got if r.z is not None) == pytest.approx(3.0)
+
+
+def test_picky_of_texts_in_passes(spark):
+    """Texts and symbols give the same; one pass a step over packed sequences: counting makes no row for a symbol or a pair of a text."""
+    rng = random.Random(12)
+    texts = ["".join(rng.choice("aab é😀") for _ in range(rng.randrange(0, 30))) for _ in range(60)] + [None, "", "a" * 9]
+    seqs = [[ord(c) for c in t or ""] for t in texts]
+    for rows, kind in ((texts, "text string"), (seqs, "seq array<int>")):
+        done = picky.train(spark.createDataFrame([(r,) for r in rows], kind), 9, 0.5, between=2)
+        assert done.events == slow_picky(seqs, 9, 0.5, "as_is")
+    packed = picky._rewritten(spark.createDataFrame([(t,) for t in texts], "text string"), [])
+    assert packed.schema.simpleString() == "struct<seq:binary>"
+
+
+@pytest.mark.parametrize("cells", [1 << 25, 3000, 0])
+def test_distinct_pairs(cells, monkeypatch):
+    monkeypatch.setattr(picky, "MOST_CELLS", cells)
+    rng = random.Random(13)
+    seqs = [[rng.choice([5, 7, 9, 0x110001, *range(20, 60)]) for _ in range(rng.choice([0, 1, 2, 30]))] for _ in range(50)]
+    keys, n = picky._distinct_pairs(np.array([x for s in seqs for x in s], np.int32), np.concatenate(([0], np.cumsum([len(s) for s in seqs]))))
+    assert dict(zip(((k >> 32, k & 0xFFFFFFFF) for k in keys.tolist()), n.tolist())) == Counter(p for s in seqs for p in set(zip(s, s[1:])))
