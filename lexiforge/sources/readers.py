@@ -125,6 +125,14 @@ def first_rows(spark: SparkSession, paths: str | list[str], most: int) -> DataFr
     return df.where(F.col("_metadata.row_index") < most).select(df.columns)
 
 
+def first_rows_of_all(spark: SparkSession, path: str, most: int) -> DataFrame:
+    """S10 on a table that may be a folder of many files: its first ``most`` rows in the order of file names and of rows in them."""
+    df = spark.read.parquet(path)
+    place = F.struct(F.url_decode(F.replace("_metadata.file_path", F.lit("+"), F.lit("%2B"))).alias("file"), F.col("_metadata.row_index").alias("row"))
+    # No file gives more than ``most`` rows, so the sort is of a few rows a file.
+    return df.select("*", place.alias("_place")).where(F.col("_place.row") < most).orderBy("_place").limit(most).select(df.columns)
+
+
 def arrow_texts(spark: SparkSession, paths: str | list[str], column: str = "text") -> DataFrame:
     """Texts of over 10 characters from Arrow IPC files, a file for each row of the scan."""
     return arrow_contents(spark.read.format("binaryFile").load(paths).select("content"), column)

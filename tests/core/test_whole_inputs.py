@@ -1,5 +1,6 @@
 """Registered training queries over the whole documents table against plain Python."""
 
+import os
 import random
 from collections import Counter
 
@@ -40,3 +41,10 @@ def test_codepoints_of_odd_texts(spark, tmp_path):
     texts = ["", None, "\0a", "e\u0301😀", " ", "a\n"]
     spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     same_as_sql(spark, tmp_path, "N05_codepoints")
+
+
+def test_first_rows_of_a_table_of_many_files(spark, tmp_path):
+    os.makedirs(f"{tmp_path}/documents.parquet")
+    for k, name in enumerate(["b", "a +", "a %2B", "c", "a"]):
+        duckdb.sql(f"COPY (SELECT (1000 * {k} + i)::BIGINT AS doc_id, 'x' AS text FROM range(40) t(i)) TO '{tmp_path}/documents.parquet/{name}.parquet'")
+    assert len(same_as_sql(spark, tmp_path, "S10_first_rows")) == 100
