@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,7 +21,7 @@ from lexiforge.functions.text import codepoints
 from lexiforge.operators.counts import conflict_free, text_counts, top_pairs
 from lexiforge.operators.sampling import adaptive_min_frequency
 from lexiforge.plans import resume
-from lexiforge.plans.merging import apply_merges, rewritten
+from lexiforge.plans.merging import apply_in_order, apply_merges, bounded_batches, rewritten
 from lexiforge.storage import materialize
 
 #: Ids of merged tokens begin behind the code points.
@@ -146,6 +147,19 @@ class WordTrainer:
         self.start, self.size = np.cumsum(size) - size, size
         self.weight = np.array([c for _, c in words], np.int64)
 
+    @classmethod
+    def of(cls, rows: pa.Table, merged: dict[int, str]) -> WordTrainer:
+        """The trainer of (seq, count) rows of symbols, code points or the numbers of ``merged`` tokens, without a Python object for a row."""
+        parts = [_flat_words(b) for b in rows.to_batches()]
+        new = cls([])
+        flat = np.concatenate([v for v, _, _ in parts] or [np.zeros(0, np.int32)])
+        used, new.symbols = np.unique(flat, return_inverse=True)
+        new.names = [merged.get(s) or chr(s) for s in used.tolist()]
+        new.size = np.concatenate([np.diff(o) for _, o, _ in parts] or [np.zeros(0, np.int64)])
+        new.start = np.cumsum(new.size) - new.size
+        new.weight = np.concatenate([w for _, _, w in parts] or [np.zeros(0, np.int64)])
+        return new
+
     def _gathered(self, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Symbols of the chosen words, and where each begins and the last ends."""
         size = self.size[chosen]
@@ -234,29 +248,87 @@ def train_words(words: DataFrame, vocab_size: int, min_frequency: int = 2, speci
     return special + tokens, merges
 
 
-def train_words_rounds(words: DataFrame, vocab_size: int, min_frequency: int = 2, specials: list[str] | None = None, between: int = 16) -> tuple[list[str], list[tuple[str, str, int]]]:
-    """B04 for any number of different words: the merges of ``train_words``, one a round, from distributed pair counts.
+def _flat_words(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Symbols, offsets and counts of (seq, count) words."""
+    offsets = batch.column(0).offsets.to_numpy().astype(np.int64)
+    return batch.column(0).values.to_numpy(zero_copy_only=False)[offsets[0] : offsets[-1]], offsets - offsets[0], batch.column(1).to_numpy(zero_copy_only=False)
+
+
+def _fragments(seqs: DataFrame, frequent: list[tuple[int, int]]) -> DataFrame:
+    """(seq, count): the words cut inside all pairs that are not in ``frequent``; single symbols are left out."""
+    table = np.array(sorted(a << 32 | b for a, b in frequent), np.int64)
+
+    def run(batches):
+        for batch in batches:
+            values, offsets, weight = _flat_words(batch)
+            keys = values[:-1].astype(np.int64) << 32 | values[1:]
+            begins = np.ones(len(values) + 1, bool)
+            begins[1:-1] = table[np.minimum(np.searchsorted(table, keys), len(table) - 1)] != keys
+            begins[offsets] = True
+            at = np.flatnonzero(begins)
+            size = np.diff(at)
+            kept = size > 1
+            word = np.searchsorted(offsets, at[:-1][kept], "right") - 1
+            seq = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(size[kept]))).astype(np.int32)), pa.array(values[np.repeat(kept, size)].astype(np.int32)))
+            yield pa.RecordBatch.from_arrays([seq, pa.array(weight[word])], names=["seq", "count"])
+
+    return seqs.mapInArrow(run, "seq array<int>, count long").groupBy("seq").agg(F.sum("count").cast("long").alias("count"))
+
+
+def _while_bounded(merges: list[tuple[str, str, int]], known: set[str]) -> list[tuple[str, str, int]]:
+    """The merges up to the first that makes a token anew out of other outer symbols; those ``known`` at the round's beginning are their own."""
+    ends = {t: (t, t) for t in known}
+    for k, (left, right, _) in enumerate(merges):
+        now = (ends[left][0], ends[right][1])
+        if ends.setdefault(left + right, now) != now:
+            return merges[: k + 1]
+    return merges
 
-    Words are written again after every ``between`` merges; until then the merges are applied in order on the way.
+
+#: So many kinds of pairs at most reach the driver.
+RANKED = 20_000
+
+
+def train_words_rounds(words: DataFrame, vocab_size: int, min_frequency: int = 2, specials: list[str] | None = None, driver_limit: int = 2_000_000) -> tuple[list[str], list[tuple[str, str, int]]]:
+    """B04 for any number of different words: the merges of ``train_words``, many a round.
+
+    Wherever a pair stands after further merges, the outer symbols of its parts that meet there make a pair now, so it is never more frequent than
+    that pair is now. A round picks a least count, cuts the words inside all rarer pairs and counts equal fragments together: they hold every
+    pair of that count or more, now and later, and are fewer than the words. The driver merges them down to that count. That needs a token
+    to have the same outer symbols wherever it stands; a round ends with the merge that makes one out of others. If not even the fragments of
+    the most frequent pair are few enough, that pair alone is merged.
     """
-    base = materialize(words.where("token <> ''").select(codepoints(F.col("token")).alias("seq"), "count"), "words")
-    special = list(dict.fromkeys(specials or []))
-    tokens = sorted(chr(r["s"]) for r in base.select(F.explode("seq").alias("s")).distinct().collect())  # an alphabet
+    bounded_batches(words.sparkSession)
+    now = materialize(words.where("token <> ''").select(codepoints(F.col("token")).alias("seq"), "count"), "words")
+    special, least_ok = list(dict.fromkeys(specials or [])), max(1, min_frequency)
+    tokens = sorted(chr(r["s"]) for r in now.select(F.explode("seq").alias("s")).distinct().collect())  # an alphabet
     # Code points are ordered as the alphabet is and merged tokens come behind, so symbols break ties as ids do.
-    symbols, names, merges, now, pending = {}, {}, [], base, 0
-    while len(tokens) < vocab_size - len(special):
-        best = top_pairs(symbol_pairs(now), 1, max(1, min_frequency)).first()
-        if best is None:
+    symbol, names, merges, wanted, deepest = {t: ord(t) for t in tokens}, {}, [], vocab_size - len(special), RANKED
+    while len(tokens) < wanted:
+        ranked = top_pairs(symbol_pairs(now), RANKED + 1, least_ok).collect()
+        if not ranked:
             break
-        left, right = (names.get(s) or chr(s) for s in (best["a"], best["b"]))
-        if left + right not in symbols:
-            symbols[left + right] = FIRST_MERGED + len(symbols)
-            names[symbols[left + right]] = left + right
-            tokens.append(left + right)
-        merges.append((left, right, best["cnt"]))
-        now, pending = apply_merges(now, "seq", [(best["a"], best["b"], symbols[left + right])]), pending + 1
-        if pending == between:
-            now, pending = materialize(now, "words"), 0
+        # Of pairs that are as frequent as the last, more may have been left out.
+        whole = ranked if len(ranked) <= RANKED else [r for r in ranked if r["cnt"] > ranked[-1]["cnt"]]
+        tried, fresh = min(len(whole), deepest), []
+        while tried and not fresh:
+            least = whole[tried - 1]["cnt"]
+            fragments = materialize(_fragments(now, [(r["a"], r["b"]) for r in whole if r["cnt"] >= least]), "fragments")
+            if fragments.count() <= driver_limit:
+                fresh = _while_bounded(WordTrainer.of(fragments.toArrow(), names).run(wanted, least, tokens)[1], set(tokens))
+                deepest = 2 * tried
+            tried //= 2
+        if not fresh:
+            left, right = (names.get(s) or chr(s) for s in (ranked[0]["a"], ranked[0]["b"]))
+            fresh = [(left, right, ranked[0]["cnt"])]
+        for text in (a + b for a, b, _ in fresh):
+            if text not in symbol:
+                symbol[text] = FIRST_MERGED + len(names)
+                names[symbol[text]] = text
+                tokens.append(text)
+        merges += fresh
+        if len(tokens) < wanted:
+            now = materialize(apply_in_order(now, "seq", [(symbol[a], symbol[b], symbol[a + b]) for a, b, _ in fresh]), "words")
     return special + tokens, merges
 
 
@@ -264,7 +336,7 @@ def train_all_words(words: DataFrame, vocab_size: int, min_frequency: int = 2, s
     """On the driver up to ``driver_limit`` different words, by ``train_words_rounds`` beyond; the results are the same."""
     words = materialize(words, "word_counts")
     few = words.where("token <> ''").count() <= driver_limit
-    return train_words(words, vocab_size, min_frequency, specials, driver_limit) if few else train_words_rounds(words, vocab_size, min_frequency, specials)
+    return (train_words if few else train_words_rounds)(words, vocab_size, min_frequency, specials, driver_limit)
 
 
 def add_batch(folder: str, name: str, words: DataFrame) -> DataFrame:

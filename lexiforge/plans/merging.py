@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 import numpy as np
 import pyarrow as pa
@@ -55,9 +55,24 @@ def rewritten(values: np.ndarray, offsets: np.ndarray, left: np.ndarray, right:
     return out[keep], kept_before[offsets]
 
 
-def apply_merges(df: DataFrame, column: str, merges: Iterable[tuple[int, int, int]]) -> DataFrame:
-    """``df`` with ``column`` (array<int>) rewritten by (left, right, new) merges; the table is a few thousand rows of a round."""
-    table = np.array(sorted(merges), np.int64).reshape(-1, 3)
+def merged_in_order(values: np.ndarray, offsets: np.ndarray, merges: list[tuple[int, int, int]]) -> tuple[np.ndarray, np.ndarray]:
+    """B01 for (left, right, new) merges one after the other, each over all sequences."""
+    for a, b, new in merges:
+        if len(hit := np.flatnonzero((values[:-1] == a) & (values[1:] == b))):
+            hit = hit[~np.isin(hit + 1, offsets)]  # never across two sequences
+            if a == b and len(hit):  # of a run every other one, from its first
+                begin = np.maximum.accumulate(np.where(np.diff(hit, prepend=-2) > 1, np.arange(len(hit)), 0))
+                hit = hit[(np.arange(len(hit)) - begin) % 2 == 0]
+            values = values.copy()
+            values[hit] = new
+            keep = np.ones(len(values), bool)
+            keep[hit + 1] = False
+            values, offsets = values[keep], offsets - np.searchsorted(hit + 1, offsets)
+    return values, offsets
+
+
+def _in_pieces(df: DataFrame, column: str, work: Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]) -> DataFrame:
+    """``df`` with ``column`` (array<int>) as ``work`` makes it of the (symbols, offsets) of bounded runs of rows."""
     names = df.columns
     place = names.index(column)
 
@@ -66,9 +81,22 @@ def apply_merges(df: DataFrame, column: str, merges: Iterable[tuple[int, int, in
             col = batch.column(place)
             col = col.fill_null([]) if col.null_count else col
             offsets = col.offsets.to_numpy().astype(np.int64)
-            values = col.values.to_numpy(zero_copy_only=False)[offsets[0] : offsets[-1]]
-            values, offsets = rewritten(values, offsets - offsets[0], table[:, 0], table[:, 1], table[:, 2].astype(np.int32))
-            new = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(values.astype(np.int32)))
-            yield pa.RecordBatch.from_arrays([new if k == place else batch.column(k) for k in range(batch.num_columns)], names=names)
+            symbols = col.values.to_numpy(zero_copy_only=False)
+            for i, j in pieces(offsets):
+                values, at = work(symbols[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
+                new = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(values.astype(np.int32)))
+                yield pa.RecordBatch.from_arrays([new if k == place else batch.column(k).slice(i, j - i) for k in range(batch.num_columns)], names=names)
 
+    bounded_batches(df.sparkSession)
     return df.mapInArrow(run, df.schema)
+
+
+def apply_merges(df: DataFrame, column: str, merges: Iterable[tuple[int, int, int]]) -> DataFrame:
+    """``df`` with ``column`` (array<int>) rewritten by (left, right, new) merges; the table is a few thousand rows of a round."""
+    table = np.array(sorted(merges), np.int64).reshape(-1, 3)
+    return _in_pieces(df, column, lambda values, offsets: rewritten(values, offsets, table[:, 0], table[:, 1], table[:, 2].astype(np.int32)))
+
+
+def apply_in_order(df: DataFrame, column: str, merges: list[tuple[int, int, int]]) -> DataFrame:
+    """``apply_merges`` for each merge in turn, in one pass."""
+    return _in_pieces(df, column, lambda values, offsets: merged_in_order(values, offsets, merges))

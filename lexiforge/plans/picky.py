@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexiforge.plans.merging import apply_merges, bounded_batches, pieces
+from lexiforge.plans.merging import apply_merges, bounded_batches, merged_in_order, pieces
 from lexiforge.storage import materialize
 
 FIRST_MERGED = 0x110000
@@ -60,21 +60,6 @@ def _packed(values: np.ndarray, offsets: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([column.cast(pa.binary())], names=["seq"])
 
 
-def _merged(values: np.ndarray, offsets: np.ndarray, merges: list[tuple[int, int, int]]) -> tuple[np.ndarray, np.ndarray]:
-    for a, b, new in merges:
-        if len(hit := np.flatnonzero((values[:-1] == a) & (values[1:] == b))):
-            hit = hit[~np.isin(hit + 1, offsets)]  # never across two sequences
-            if a == b and len(hit):  # of a run every other one, from its first
-                begin = np.maximum.accumulate(np.where(np.diff(hit, prepend=-2) > 1, np.arange(len(hit)), 0))
-                hit = hit[(np.arange(len(hit)) - begin) % 2 == 0]
-            values = values.copy()
-            values[hit] = new
-            keep = np.ones(len(values), bool)
-            keep[hit + 1] = False
-            values, offsets = values[keep], offsets - np.searchsorted(hit + 1, offsets)
-    return values, offsets
-
-
 def _distinct_pairs(values: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(pair as one long, in how many of the sequences it stands)."""
     if len(values) < 2:
@@ -119,7 +104,7 @@ def _counted(packed: DataFrame, merges: list[tuple[int, int, int]], symbols: lis
         total: dict[int, int] = {}
         out = lambda: pa.RecordBatch.from_arrays([pa.array(list(total), pa.int64()), pa.array(list(total.values()), pa.int64())], names=["key", "n"])
         for values, offsets in _batches(batches):
-            values, offsets = _merged(values, offsets, merges)
+            values, offsets = merged_in_order(values, offsets, merges)
             for s in symbols:
                 total[-1 - s] = total.get(-1 - s, 0) + int(np.count_nonzero(values == s))
             for key, n in zip(*(x.tolist() for x in _distinct_pairs(values, offsets))):
@@ -151,7 +136,7 @@ def _rewritten(seqs: DataFrame, merges: list[tuple[int, int, int]]) -> DataFrame
 
     def run(batches):
         for values, offsets in _batches(batches):
-            values, offsets = _merged(values, offsets, merges)
+            values, offsets = merged_in_order(values, offsets, merges)
             yield _packed(values, np.concatenate((offsets[:1], offsets[1:][np.diff(offsets) > 0])))
 
     return materialize(seqs.mapInArrow(run, "seq binary"), "picky")

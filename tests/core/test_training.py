@@ -208,3 +208,23 @@ def test_distinct_pairs(cells, monkeypatch):
     seqs = [[rng.choice([5, 7, 9, 0x110001, *range(20, 60)]) for _ in range(rng.choice([0, 1, 2, 30]))] for _ in range(50)]
     keys, n = picky._distinct_pairs(np.array([x for s in seqs for x in s], np.int32), np.concatenate(([0], np.cumsum([len(s) for s in seqs]))))
     assert dict(zip(((k >> 32, k & 0xFFFFFFFF) for k in keys.tolist()), n.tolist())) == Counter(p for s in seqs for p in set(zip(s, s[1:])))
+
+
+@pytest.mark.parametrize("driver_limit", [2, 40, 1000])
+def test_word_rounds_merge_many_a_round(spark, driver_limit, monkeypatch):
+    rng = random.Random(14)
+    words = Counter("".join(rng.choice("aaabbcdé") for _ in range(rng.randrange(1, 9))) for _ in range(300))
+    rows = spark.createDataFrame(list(words.items()), "token string, count long")
+    rounds, counted = [], bpe.symbol_pairs
+    monkeypatch.setattr(bpe, "symbol_pairs", lambda *a: rounds.append(1) or counted(*a))
+    want = bpe.train_words(rows, 17, specials=["<pad>"])
+    assert len(want[1]) == 11 and bpe.train_words_rounds(rows, 17, specials=["<pad>"], driver_limit=driver_limit) == want
+    assert len(rounds) <= {2: 11, 40: 8, 1000: 3}[driver_limit]
+
+
+def test_word_rounds_with_ties_beyond_the_ranking(spark, monkeypatch):
+    rows = spark.createDataFrame([("ab", 3), ("cd", 3), ("abcd", 3), ("ef", 3), ("efg", 1), ("aaaa", 2)], "token string, count long")
+    want = bpe.train_words(rows, 40, 1)
+    for ranked in (1, 2, 3):
+        monkeypatch.setattr(bpe, "RANKED", ranked)
+        assert bpe.train_words_rounds(rows, 40, 1) == want
