@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexiforge.plans.merging import apply_merges, bounded_batches, merged_in_order, pieces
+from lexiforge.plans.merging import bounded_batches, merged_in_order, pieces
 from lexiforge.storage import materialize
 
 FIRST_MERGED = 0x110000
@@ -193,10 +193,19 @@ def train(seqs: DataFrame, steps: int, threshold: float = 0.9, mode: str = "as_i
 
 
 def inclusion(seqs: DataFrame, a: int, b: int) -> DataFrame:
-    """(merged, left, right, ios_left, ios_right): how often a pair merges, how often its parts still stand alone then, and the ratios."""
+    """A21 over rows of one column, texts or array<int> of symbols: (merged, left, right, ios_left, ios_right): how often a pair merges, how often its parts still stand alone then, and the ratios."""
     new = FIRST_MERGED
-    symbols = apply_merges(seqs.select("seq"), "seq", [(a, b, new)]).select(F.explode("seq").alias("s")).where(F.col("s").isin([a, b, new]))
-    counted = symbols.agg(*[F.count_if(F.col("s") == s).alias(n) for s, n in ((new, "merged"), (a, "left"), (b, "right"))])
+
+    def run(batches):
+        n = np.zeros(3, np.int64)
+        for values, offsets in _batches(batches):
+            values, _ = merged_in_order(values, offsets, [(a, b, new)])
+            n += [np.count_nonzero(values == s) for s in (new, a, b)]
+        yield pa.RecordBatch.from_arrays([pa.array([x]) for x in n.tolist()], names=["merged", "left", "right"])
+
+    bounded_batches(seqs.sparkSession)
+    sums = seqs.mapInArrow(run, "merged long, left long, right long")
+    counted = sums.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("merged", "left", "right")])
     share = lambda c: F.coalesce(F.col("merged") / F.nullif(F.col(c), F.lit(0)), F.lit(0.0)).alias(f"ios_{c}")
     return counted.select("merged", "left", "right", share("left"), share("right"))
 

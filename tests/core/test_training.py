@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lexiforge.operators import counts, metrics
-from lexiforge.plans import bpe, encode, picky
+from lexiforge.plans import bpe, encode, merging, picky
 from lexiforge.plans.merging import apply_merges, rewritten
 
 
@@ -228,3 +228,34 @@ def test_word_rounds_with_ties_beyond_the_ranking(spark, monkeypatch):
     for ranked in (1, 2, 3):
         monkeypatch.setattr(bpe, "RANKED", ranked)
         assert bpe.train_words_rounds(rows, 40, 1) == want
+
+
+@pytest.mark.parametrize("pair", ["th", "aa"])
+def test_inclusion_of_texts(spark, pair):
+    texts = ["that th", "aaaaa", "t", "", None, "hta", "h"]
+    a, b = map(ord, pair)
+    seqs = [greedy([ord(c) for c in t or ""], {(a, b): picky.FIRST_MERGED}) for t in texts]
+    n = Counter(x for s in seqs for x in s)
+    for rows, kind in ((texts, "text string"), ([[ord(c) for c in t or ""] for t in texts], "seq array<int>")):
+        got = picky.inclusion(spark.createDataFrame([(r,) for r in rows], kind), a, b).first()
+        assert tuple(got)[:3] == (n[picky.FIRST_MERGED], n[a], n[b])
+
+
+def test_merges_come_in_bounded_pieces(spark, monkeypatch):
+    assert list(merging.pieces(np.array([0, 3, 3, 6, 20, 21, 22]), 6)) == [(0, 3), (3, 4), (4, 6)]
+    monkeypatch.setattr(merging, "BATCH_BYTES", 4000)
+    spark.conf.unset(merging.BATCH_KEY)
+    rows = spark.createDataFrame([(k, [1, 2] * 50) for k in range(400)], "k int, seq array<int>").coalesce(1)
+    done = apply_merges(rows, "seq", [(1, 2, 3)])
+
+    def sizes(batches):
+        import pyarrow as pa
+
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"n": [b.num_rows]})
+
+    try:
+        assert max(r.n for r in rows.mapInArrow(sizes, "n long").collect()) < 40
+        assert sorted((r.k, tuple(r.seq)) for r in done.collect()) == [(k, (3,) * 50) for k in range(400)]
+    finally:
+        spark.conf.unset(merging.BATCH_KEY)
